@@ -200,9 +200,9 @@ def encoded(table: str, key: str, block: int) -> str:
 
 def batched(table: str, key: str, size: str) -> str:
     """Length-grouped batches of ``table``, with ``batch_id`` and ``batch_pos``."""
-    return f"""SELECT * EXCLUDE (r, n, per, mega, at), CAST(mega * per + at // {BATCH} AS BIGINT) AS batch_id,
-        CAST(at % {BATCH} AS INTEGER) AS batch_pos FROM (
-      SELECT *, row_number() OVER (PARTITION BY mega ORDER BY {size} DESC, {key}) - 1 AS at FROM (
+    return f"""SELECT * EXCLUDE (r, n, per, mega, spot), CAST(mega * per + spot // {BATCH} AS BIGINT) AS batch_id,
+        CAST(spot % {BATCH} AS INTEGER) AS batch_pos FROM (
+      SELECT *, row_number() OVER (PARTITION BY mega ORDER BY {size} DESC, {key}) - 1 AS spot FROM (
       SELECT *, (r - 1) // (per * {BATCH}) AS mega FROM (
       SELECT *, greatest(least(n // ({BATCH} * 4), 50), 1) AS per FROM (
       SELECT *, {rank('42:batch', key)} AS r, count(*) OVER () AS n FROM {table}))))"""
@@ -386,9 +386,10 @@ ORACLE: dict[str, str] = {
     "encode_corpus": f"""WITH {VOCAB}, texts AS (SELECT doc_id, {strip(rendered('dialogue'))} AS text FROM ({DIRTY_DIALOGUES})),
         {encoded('texts', 'doc_id', 64)}, sized AS (SELECT doc_id, ids, len(ids) AS n_tokens FROM encoded),
         batches AS ({batched('sized', 'doc_id', 'n_tokens')}),
-        wide AS (SELECT *, max(n_tokens) OVER (PARTITION BY batch_id) AS longest FROM batches)
+        wide AS (SELECT *, max(n_tokens) OVER (PARTITION BY batch_id) AS longest,
+          (SELECT id FROM vocab WHERE token = '{EOS}') AS pad FROM batches)
         SELECT doc_id, batch_id, CAST(n_tokens AS INTEGER) AS n_tokens,
-          {padded('ids', f"(SELECT id FROM vocab WHERE token = '{EOS}')")} FROM wide""",
+          {padded('ids', 'pad')} FROM wide""",
     "score_prompts": f"""SELECT prompt, {first_sentence('g')} AS generation FROM (
         SELECT prompt, {answer(f"({repeated('So.')})", 'prompt')} AS g FROM (
         SELECT array_to_string({pieces('text')}[1:64], '') AS prompt FROM ({DIRTY_DOCS}) WHERE {strip('text')} <> ''))""",

@@ -29,7 +29,7 @@ def batch_generate(
         if key is None:
             raise ValueError("the first n prompts need a key to order by")
         df = df.orderBy(key).limit(n)
-    schema = StructType(df.schema.fields).add(out, StringType())
+    schema = StructType(list(df.schema.fields)).add(out, StringType())
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         generate = loader()

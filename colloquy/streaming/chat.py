@@ -15,14 +15,15 @@ _STATE = "lines array<string>, last_turn long"
 
 
 def stream_prompts(
-    turns: DataFrame, max_lines: int = CONTEXT_SIZE, idle_ms: int = 24 * 3600 * 1000
+    turns: DataFrame, max_lines: int = CONTEXT_SIZE, idle_ms: int | None = None
 ) -> DataFrame:
     """A prompt for each user turn of a stream ``(conv_id, turn, role, text)``.
 
     Blank user input is skipped. ``exit``, ``quit`` or ``sair`` ends the session
     and clears its history. Rows of a micro-batch are taken in turn order; a row
     older than the history is taken as it arrives and flagged ``late``. A
-    conversation idle for ``idle_ms`` is forgotten.
+    conversation idle for ``idle_ms`` is forgotten; that takes a query that keeps
+    running, since timeouts schedule further batches without end.
 
     State holds the last ``max_lines`` lines. A line has at least one token, so
     ``max_lines`` equal to the context size loses nothing that fits the context.
@@ -52,9 +53,11 @@ def stream_prompts(
                 lines.append(f"{ASSISTANT} {text}")
             lines = lines[-max_lines:]
         state.update((lines, last))
-        state.setTimeoutDuration(idle_ms)
+        if idle_ms is not None:
+            state.setTimeoutDuration(idle_ms)
         yield pd.DataFrame(out, columns=["conv_id", "turn", "prompt", "late"])
 
+    timeout = GroupStateTimeout.NoTimeout if idle_ms is None else GroupStateTimeout.ProcessingTimeTimeout
     return turns.groupBy("conv_id").applyInPandasWithState(
-        advance, OUTPUT, _STATE, "append", GroupStateTimeout.ProcessingTimeTimeout
+        advance, OUTPUT, _STATE, "append", timeout
     )
