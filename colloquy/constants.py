@@ -22,7 +22,7 @@ TRUE_WORDS = ("1", "true", "yes", "y", "on")
 
 # Unicode white space. Neither Java's nor RE2's \s covers it; this class reads
 # the same in both.
-WS_CLASS = r"\t\n\x0B\f\r\x1C-\x1F \x{85}\p{Z}"
+WS_CLASS = r"\t-\r\x1C-\x20\x{85}\p{Z}"
 WS = f"[{WS_CLASS}]+"
 # The same set spelled out, for trim().
 WS_CHARS = (

@@ -15,36 +15,33 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType
 
-from colloquy.constants import CONTROL, CURLY_QUOTES, STRAIGHT_QUOTES, WS, WS_CHARS, WS_CLASS
-
-# A run that is already one plain space needs no replacement, which saves most
-# of the work on ordinary text.
-_WS_UNTIDY = rf"[\t\n\x0B\f\r\x1C-\x1F\x{{85}}\p{{Zl}}\p{{Zp}}\x{{A0}}\x{{1680}}\x{{2000}}-\x{{200A}}\x{{202F}}\x{{205F}}\x{{3000}}][{WS_CLASS}]*| [{WS_CLASS}]+"
-
-# Markup whose text is never shown. One alternation, so whichever construct
-# starts first wins: a script tag inside a comment is part of the comment.
-_UNSHOWN = (
-    r"(?is)<!--.*?-->"
-    r"|<script\b(?:[^>]*[^/>])?>.*?(?:</script\s*>|\z)"
-    r"|<style\b(?:[^>]*[^/>])?>.*?(?:</style\s*>|\z)"
-    r"|<template\b(?:[^>]*[^/>])?>.*?(?:</template\s*>|\z)"
-    r"|<![a-z][^>]*>"
-    r"|<\?[^>]*>"
-)
-# A tag starts with a letter; quoted attribute values may hold '>'. "a < b" is text.
-_TAG = (
-    r"""</?[A-Za-z](?:[^"'>]*(?:"[^"]*"|'[^']*'))*[^"'>]*>"""
-    r"""|</?[A-Za-z][^>]*>"""
+from colloquy.constants import CONTROL, CURLY_QUOTES, STRAIGHT_QUOTES, WS, WS_CHARS
+
+# Markup, matched in one pass from its '<', so whichever construct starts first
+# wins: a script tag inside a comment is part of the comment.
+_MARKUP = (
+    r"(?is)<(?:"
+    # Content that is never shown.
+    r"!--.*?-->"
+    r"|script\b(?:[^>]*[^/>])?>.*?(?:</script\s*>|\z)"
+    r"|style\b(?:[^>]*[^/>])?>.*?(?:</style\s*>|\z)"
+    r"|template\b(?:[^>]*[^/>])?>.*?(?:</template\s*>|\z)"
+    r"|![a-z][^>]*>"
+    r"|\?[^>]*>"
+    # A tag starts with a letter ("a < b" is text); quoted values may hold '>'.
+    r"""|/?[a-z](?:[^"'>]*(?:"[^"]*"|'[^']*'))*[^"'>]*>"""
+    r"|/?[a-z][^>]*>"
+    r")"
 )
 _ENTITY_PIECES = r"&#?[A-Za-z0-9]+;?|[^&]+|&"
 
 
 def _named_entities() -> str:
-    """HTML entity names (without ';') keyed by first letter, as JSON."""
+    """HTML entity names (without ';') by first letter, as JSON in a SQL string."""
     table: dict[str, dict[str, str]] = defaultdict(dict)
     for name, char in html.entities.html5.items():
         table[name[0]][name.rstrip(";")] = char
-    return json.dumps(table, ensure_ascii=True, sort_keys=True)
+    return json.dumps(table, sort_keys=True).replace("\\", "\\\\").replace("'", "\\'")
 
 
 _NAMED_ENTITIES = _named_entities()
@@ -65,7 +62,7 @@ def strip_ws(c: Column) -> Column:
 
 def collapse_ws(c: Column) -> Column:
     """Turn every run of white space into one space and trim."""
-    return F.trim(F.regexp_replace(c, _WS_UNTIDY, " "))
+    return F.trim(F.regexp_replace(c, WS, " "))
 
 
 def norm_space(c: Column) -> Column:
@@ -90,23 +87,28 @@ def strip_control(c: Column) -> Column:
 
 def straight_quotes(c: Column) -> Column:
     """Right single and both double curly quotes; the left single one stays."""
-    return F.translate(c, CURLY_QUOTES, STRAIGHT_QUOTES)
-
-
-def _char_reference(piece: Column) -> Column:
-    digits = F.rtrim(F.substring(piece, 3, 1 << 20), F.lit(";"))
-    number = F.when(
-        F.lower(digits).startswith("x") & digits.rlike("^[xX][0-9A-Fa-f]+$"),
-        F.conv(F.substring(digits, 2, 1 << 20), 16, 10),
-    ).when(digits.rlike("^[0-9]+$"), digits)
-    code = number.try_cast("bigint")
-    valid = (code > 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
-    char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-    return (
-        F.when(number.isNull(), piece)
-        .when(F.coalesce(valid, F.lit(False)), F.translate(char, _C1, _C1_MEANT))
-        .otherwise(F.lit("\ufffd"))
-    )
+    for curly, straight in zip(CURLY_QUOTES, STRAIGHT_QUOTES):
+        c = F.replace(c, F.lit(curly), F.lit(straight))
+    return c
+
+
+# One parsed lambda: built call by call it would cost more time than it runs.
+# References that decode to nothing valid become U+FFFD; "&" and unknown names stay.
+_DECODE_ENTITIES = f"""
+text -> if(contains(text, '&'), array_join(transform(
+  regexp_extract_all(text, '{_ENTITY_PIECES}', 0),
+  piece -> CASE
+    WHEN piece RLIKE '^&#[0-9]+;?$|^&#[xX][0-9A-Fa-f]+;?$' THEN translate(coalesce(decode(unhex(lpad(hex(
+      transform(array(try_cast(
+        if(substr(piece, 3, 1) IN ('x', 'X'), conv(rtrim(';', substr(piece, 4)), 16, 10), rtrim(';', substr(piece, 3)))
+        AS bigint)), n -> if(n BETWEEN 1 AND 55295 OR n BETWEEN 57344 AND 1114111, n, NULL))[0]
+      ), 8, '0')), 'UTF-32'), '\ufffd'), '{_C1}', '{_C1_MEANT}')
+    WHEN startswith(piece, '&') THEN coalesce(
+      try_element_at(try_element_at(
+        from_json('{_NAMED_ENTITIES}', 'map<string,map<string,string>>'), substr(piece, 2, 1)),
+        rtrim(';', substr(piece, 2))), piece)
+    ELSE piece END), ''), text)
+"""
 
 
 def decode_entities(c: Column) -> Column:
@@ -114,22 +116,7 @@ def decode_entities(c: Column) -> Column:
 
     One pass means ``&amp;lt;`` yields ``&lt;``. Unknown names stay as written.
     """
-    table = F.from_json(F.lit(_NAMED_ENTITIES), "map<string,map<string,string>>")
-
-    def piece_text(p: Column) -> Column:
-        name = F.rtrim(F.substring(p, 2, 1 << 20), F.lit(";"))
-        named = F.try_element_at(F.try_element_at(table, F.substring(p, 2, 1)), name)
-        return (
-            F.when(~p.startswith("&") | (p == "&"), p)
-            .when(p.startswith("&#"), _char_reference(p))
-            .otherwise(F.coalesce(named, p))
-        )
-
-    def decode(text: Column) -> Column:
-        pieces = F.regexp_extract_all(text, F.lit(_ENTITY_PIECES), F.lit(0))
-        return F.when(F.contains(text, F.lit("&")), F.array_join(F.transform(pieces, piece_text), "")).otherwise(text)
-
-    return let(c, decode)
+    return F.get(F.call_function("transform", F.array(c), F.expr(_DECODE_ENTITIES)), F.lit(0))
 
 
 def strip_html(c: Column) -> Column:
@@ -138,7 +125,7 @@ def strip_html(c: Column) -> Column:
     White space inside is left for ``collapse_ws``; comments, doctype, script,
     style and template content are not visible.
     """
-    return decode_entities(F.regexp_replace(F.regexp_replace(c, _UNSHOWN, " "), _TAG, " "))
+    return decode_entities(F.regexp_replace(c, _MARKUP, " "))
 
 
 def strip_tags(c: Column) -> Column:

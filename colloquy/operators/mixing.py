@@ -40,30 +40,46 @@ def shuffle(df: DataFrame, key: str, seed: int = SEED) -> DataFrame:
     return df.orderBy(order_hash(seed, F.col(key)), key)
 
 
+def source_cutoffs(
+    df: DataFrame, targets: Mapping[str, int], key: str, seed: int = SEED, source: str = "source"
+) -> DataFrame:
+    """The last row to keep of every source above its target: ``(source, cap)``.
+
+    Only the ``source`` and ``key`` columns are read.
+    """
+    limits = {name: max(n, 0) for name, n in targets.items()}
+    limit_of = F.create_map(*(F.lit(x) for pair in limits.items() for x in pair))
+    capped = df.select(source, key).filter(F.col(source).isin(list(limits)))
+    return hash_cutoffs(
+        capped, key, seed, {"cap": lambda _: limit_of[F.col(source)]}, by=source, max_groups=len(limits)
+    )
+
+
+def apply_cutoffs(
+    df: DataFrame, cutoffs: DataFrame, targets: Mapping[str, int], key: str, seed: int = SEED, source: str = "source"
+) -> DataFrame:
+    """Keep the rows up to their source's cut-off; sources without one stay whole."""
+    nothing = [name for name, n in targets.items() if n <= 0]
+    if nothing:
+        df = df.filter(~F.coalesce(F.col(source).isin(nothing), F.lit(False)))
+    ends = cutoffs.select(F.col(source).alias("__source"), F.col("cap").alias("__cap"))
+    if len(targets) <= MAX_BROADCAST_TARGETS:
+        ends = F.broadcast(ends)
+    joined = df.join(ends, F.col(source) == F.col("__source"), "left")
+    return joined.filter(F.col("__cap").isNull() | (place_of(key, seed) <= F.col("__cap"))).drop("__source", "__cap")
+
+
 def cap_sources(
-    df: DataFrame, targets: Mapping[str, int], key: str, seed: int = SEED, source: str = "source",
-    index: DataFrame | None = None,
+    df: DataFrame, targets: Mapping[str, int], key: str, seed: int = SEED, source: str = "source"
 ) -> DataFrame:
     """Keep a random ``targets[source]`` rows of each source.
 
     A source below its target, or without one, is kept whole; nothing is
-    upsampled. ``index`` may hold the ``(source, key)`` columns of the same rows
-    in a cheaper place; the cut-offs are then computed from it.
+    upsampled.
     """
-    dropped = [name for name, n in targets.items() if n <= 0]
-    limits = {name: n for name, n in targets.items() if n > 0}
-    if dropped:
-        df = df.filter(~F.coalesce(F.col(source).isin(dropped), F.lit(False)))
-    if not limits:
+    if not targets:
         return df
-    capped = (df if index is None else index).select(source, key).filter(F.col(source).isin(list(limits)))
-    limit_of = F.create_map(*(F.lit(x) for pair in limits.items() for x in pair))
-    cuts = hash_cutoffs(capped, key, seed, {"__cap": lambda _: limit_of[F.col(source)]}, by=source)
-    cuts = cuts.withColumnRenamed(source, "__source")
-    if len(limits) <= MAX_BROADCAST_TARGETS:
-        cuts = F.broadcast(cuts)
-    joined = df.join(cuts, F.col(source) == F.col("__source"), "left")
-    return joined.filter(F.col("__cap").isNull() | (place_of(key, seed) <= F.col("__cap"))).drop("__source", "__cap")
+    return apply_cutoffs(df, source_cutoffs(df, targets, key, seed, source), targets, key, seed, source)
 
 
 def balance_by_targets(
@@ -79,8 +95,11 @@ def balance_by_targets(
     return shuffle(capped, key, f"{seed}:mix") if shuffled else capped
 
 
-def _split(df: DataFrame, held_out: float, test_share: float, key: str, seed: int, index: DataFrame | None) -> DataFrame:
-    salt = f"{seed}:split"
+def split_limits(df: DataFrame, held_out: float, test_share: float, key: str, seed: int = SEED) -> DataFrame:
+    """One row: the last row of the test split and the last of all held-out rows.
+
+    Only the ``key`` column is read.
+    """
 
     def n_held_out(total: Column) -> Column:
         return F.ceil(F.lit(held_out) * total)
@@ -88,26 +107,37 @@ def _split(df: DataFrame, held_out: float, test_share: float, key: str, seed: in
     def n_test(total: Column) -> Column:
         return F.ceil(F.lit(test_share) * n_held_out(total))
 
-    rows = (df if index is None else index).select(key)
-    cuts = hash_cutoffs(rows, key, salt, {"test": n_test, "held_out": n_held_out})
-    limits = cuts.select(F.struct("test", "held_out")).scalar()
-    place = place_of(key, salt)
+    cuts = hash_cutoffs(df.select(key), key, _split_salt(seed), {"test": n_test, "held_out": n_held_out})
+    return cuts.select(F.struct("test", "held_out").alias("limits"))
+
+
+def apply_split(df: DataFrame, limits: DataFrame, key: str, seed: int = SEED) -> DataFrame:
+    """Add ``split`` by comparing each row with the one row of ``limits``."""
+    place, last = place_of(key, _split_salt(seed)), limits.scalar()
     return df.withColumn(
-        "split",
-        F.when(place <= limits["test"], "test").when(place <= limits["held_out"], "val").otherwise("train"),
+        "split", F.when(place <= last["test"], "test").when(place <= last["held_out"], "val").otherwise("train")
     )
 
 
+def _split_salt(seed: int) -> str:
+    # Not the salt of the caps: a row kept by its cap has a low place there.
+    return f"{seed}:split"
+
+
+def held_out_shares(val: float, test: float) -> tuple[float, float]:
+    """Share of rows held out, and the test split's share of those."""
+    return val + test, test / (val + test)
+
+
 def split_keep_ratios(
-    df: DataFrame, val: float = 0.02, test: float = 0.02, key: str = "id", seed: int = SEED,
-    index: DataFrame | None = None,
+    df: DataFrame, val: float = 0.02, test: float = 0.02, key: str = "id", seed: int = SEED
 ) -> DataFrame:
     """Add ``split``: train, val or test, with exact sizes.
 
     ``ceil((val + test) * n)`` rows are held out and ``ceil(test / (val + test))``
-    of those are the test split. Not stratified. ``index`` as in ``cap_sources``.
+    of those are the test split. Not stratified.
     """
-    return _split(df, val + test, test / (val + test), key, seed, index)
+    return apply_split(df, split_limits(df, *held_out_shares(val, test), key, seed), key, seed)
 
 
 def split_dataset(
@@ -115,7 +145,7 @@ def split_dataset(
 ) -> DataFrame:
     """The same split with the test share written as ``1 - val / (val + test)``."""
     held_out = val_size + test_size
-    return _split(df, held_out, 1 - val_size / held_out, key, seed, None)
+    return apply_split(df, split_limits(df, held_out, 1 - val_size / held_out, key, seed), key, seed)
 
 
 def mix_and_split(

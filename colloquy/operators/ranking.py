@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 
 Cut = Callable[[Column], Column]
 
+MAX_BROADCAST_EDGES = 20_000
+
 
 def order_hash(salt: str | int, key: Column) -> Column:
     """Seeded hash of a key; the same text in any engine that has md5."""
@@ -72,7 +74,8 @@ def ordinal_rank(
 
 
 def hash_cutoffs(
-    df: DataFrame, key: str, salt: str | int, cuts: Mapping[str, Cut], by: str | None = None, digits: int = 4
+    df: DataFrame, key: str, salt: str | int, cuts: Mapping[str, Cut], by: str | None = None,
+    max_groups: int | None = None, digits: int = 4,
 ) -> DataFrame:
     """The row that stands at a given rank in hash order, per group.
 
@@ -84,7 +87,9 @@ def hash_cutoffs(
 
     Ranks are found by selection, not by sorting: a histogram over hash prefixes
     names the one bucket that holds the wanted rank, and only that bucket
-    (a 16**-digits share of the group) is ordered. The data itself never moves.
+    (a 16**-digits share of the group) is ordered. There is one such bucket per
+    group and cut; when ``max_groups`` shows that these are few, they are
+    broadcast and the rows are only scanned.
     """
     groups = [by] if by else []
     hashed = df.select(
@@ -108,8 +113,9 @@ def hash_cutoffs(
             *groups, "__bucket", "__cut", (F.col("__rank") - F.col("__upto") + F.col("__n")).alias("__need")
         )
     )
-    if not groups:
-        edges = F.broadcast(edges)  # at most one row per cut
+    groups_bound = max_groups if by else 1
+    if groups_bound is not None and groups_bound * len(cuts) <= MAX_BROADCAST_EDGES:
+        edges = F.broadcast(edges)
     keys = [*groups, "__bucket"]
     inside = W.partitionBy(*keys, "__cut").orderBy("__h", "__k")
     found = (

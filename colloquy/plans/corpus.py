@@ -9,10 +9,17 @@ from pyspark.sql import functions as F
 
 from colloquy.constants import SEED
 from colloquy.operators.dialogues import as_text, clean_corpus, count_source
-from colloquy.operators.mixing import cap_sources, split_keep_ratios, union_all
-from colloquy.operators.rows import filter_nonempty, filter_turn_count, compute_once
+from colloquy.operators.mixing import (
+    apply_cutoffs,
+    apply_split,
+    held_out_shares,
+    source_cutoffs,
+    split_limits,
+    union_all,
+)
+from colloquy.operators.rows import compute_once, filter_nonempty, filter_turn_count
 from colloquy.session import cut_lineage
-from colloquy.sources.converters import CONVERTERS, STORED_NAME
+from colloquy.sources.converters import CONVERTERS, MAY_REJECT, STORED_NAME
 from colloquy.sources.writers import write_jsonl
 
 # Share of each source and size of the mixture.
@@ -27,16 +34,22 @@ def default_targets(total: int = TOTAL) -> dict[str, int]:
 def two_message_dialogues(sources: Mapping[str, DataFrame], key: str = "id") -> DataFrame:
     """Convert every source and keep two-message dialogues: ``(key, source, dialogue)``.
 
-    ``key`` becomes ``source:key``, unique over the mixture.
+    ``key`` becomes ``source:key``, unique over the mixture. Sources that always
+    give two messages are not checked, so that a later step that asks only for
+    keys reads no text from them.
     """
     parts = []
     for name, df in sources.items():
-        stored = STORED_NAME.get(name, name)
         if name not in CONVERTERS:
             raise ValueError(f"unknown source {name!r}; known: {sorted(CONVERTERS)}")
-        converted = compute_once(df, dialogue=CONVERTERS[name](df))
+        stored = STORED_NAME.get(name, name)
         named = F.concat(F.lit(f"{stored}:"), F.col(key).cast("string")).alias(key)
-        parts.append(filter_turn_count(converted.select(named, F.lit(stored).alias("source"), "dialogue")))
+        dialogue = CONVERTERS[name](df)
+        if name in MAY_REJECT:
+            converted = filter_turn_count(compute_once(df, dialogue=dialogue))
+        else:
+            converted = df.select(key, dialogue.alias("dialogue"))
+        parts.append(converted.select(named, F.lit(stored).alias("source"), "dialogue"))
     return union_all(parts)
 
 
@@ -47,17 +60,19 @@ def prepare_corpus(
     """Convert, reject, balance, split, clean and render, in this order.
 
     Balancing and splitting come before cleaning, so the split sizes are those
-    of the uncleaned mixture. Only ``(source, key)`` pairs are written out on the
-    way, to compute the cut-offs from; the texts go from scan to result in one
-    pass without a shuffle.
+    of the uncleaned mixture. The ``(source, key)`` pairs are written to the
+    checkpoint folder and the cut-offs, a row per target and one for the splits,
+    are computed from them. The texts then go from scan to result in one pass
+    without a shuffle.
     """
+    targets = default_targets() if targets is None else targets
     dialogues = two_message_dialogues(sources, key)
     index = cut_lineage(dialogues.select("source", key))
-    targets = default_targets() if targets is None else targets
-    kept_index = cap_sources(index, targets, key, seed)
-    balanced = cap_sources(dialogues, targets, key, seed, index=index)
-    split = split_keep_ratios(balanced, val, test, key, seed, index=kept_index)
-    cleaned = filter_nonempty(clean_corpus(split), "dialogue")
+    caps = cut_lineage(source_cutoffs(index, targets, key, seed))
+    kept = apply_cutoffs(index, caps, targets, key, seed)
+    limits = cut_lineage(split_limits(kept, *held_out_shares(val, test), key, seed))
+    balanced = apply_cutoffs(dialogues, caps, targets, key, seed)
+    cleaned = filter_nonempty(clean_corpus(apply_split(balanced, limits, key, seed)), "dialogue")
     return as_text(cleaned, "split", key)
 
 

@@ -90,6 +90,9 @@ CONVERTERS: dict[str, Callable[[DataFrame], Column]] = {
     "sciq": sciq_dialogue,
     "natural-questions": nq_dialogue,
 }
+# Sources whose records may convert to an empty dialogue; the others always give
+# two messages.
+MAY_REJECT = frozenset({"natural-questions"})
 
 
 def convert(df: DataFrame, name: str, *keep: str) -> DataFrame:
