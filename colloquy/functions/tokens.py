@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 
 from colloquy.constants import SPECIALS
 
-# Fixed value: the published GPT-style split, without its lookahead and with a
-# break before '<' so that special tags stay whole.
+# Fixed value: the published GPT-style split, without its lookahead. '<' never
+# joins the space before it: that space would split a special tag that follows.
 _PIECES = (
     r"'(?:s|t|re|ve|m|ll|d)"
     r"| ?\p{L}+"
     r"| ?\p{N}+"
     r"| ?[^\p{Z}\t\n\x0B\f\r\x{85}\p{L}\p{N}<]+"
-    r"| ?<"
+    r"|<"
     r"|[\p{Z}\t\n\x0B\f\r\x{85}]+"
 )
 

@@ -18,7 +18,7 @@ from colloquy.constants import BLOCK_SIZE, EOS, SPECIALS
 from colloquy.functions.dialogue import dialogue_to_text
 from colloquy.functions.text import strip_ws
 from colloquy.functions.tokens import pretokenize, truncate_head
-from colloquy.operators.rows import filter_nonblank_text, filter_nonempty_tokens
+from colloquy.operators.rows import filter_nonblank_text
 
 # A vocabulary up to this many tokens is sent to the workers; a larger one is joined.
 MAX_SHIPPED_TOKENS = 500_000
@@ -148,7 +148,8 @@ def tokenize_keep(
 
 
 def _encode_text(rows: DataFrame, vocab: DataFrame, block_size: int, key: str | None) -> DataFrame:
+    # Rows without text are gone, and any other text has a token, so no filter on
+    # the ids is needed: counting the rows does not tokenize them.
     pieces = rows.withColumn("__tokens", truncate_head(pretokenize(F.col("text")), block_size))
     encoded = encode_tokens(pieces, vocab, "__tokens", key=key).drop("__tokens")
-    masked = encoded.withColumn("attention_mask", F.transform("input_ids", lambda _: F.lit(1)))
-    return filter_nonempty_tokens(masked)
+    return encoded.withColumn("attention_mask", F.transform("input_ids", lambda _: F.lit(1)))
