@@ -41,7 +41,15 @@ def build_vocab(
 
     The first special token also serves as padding and as the unknown token.
     """
-    top = count_tokens(df, column, specials).orderBy(F.desc("n"), "token").limit(size)
+    counts = count_tokens(df, column, specials)
+    # Only tokens at least as frequent as the last one wanted are sorted. That
+    # frequency comes from the number of tokens per frequency, a table with at
+    # most sqrt(2 * total) rows; both uses share one shuffle of the counts.
+    per_frequency = counts.groupBy("n").agg(F.count(F.lit(1)).alias("__tokens"))
+    upto = F.sum("__tokens").over(W.orderBy(F.desc("n")).rowsBetween(W.unboundedPreceding, 0))
+    least = per_frequency.withColumn("__upto", upto).filter(F.col("__upto") >= size).agg(F.max("n")).scalar()
+    frequent = counts.filter(F.col("n") >= F.coalesce(least, F.lit(0)))
+    top = frequent.orderBy(F.desc("n"), "token").limit(size)
     tail = df.sparkSession.createDataFrame(
         [(tag, -1 - i) for i, tag in enumerate(specials)], "token string, n bigint"
     )

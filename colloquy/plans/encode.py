@@ -11,6 +11,7 @@ from colloquy.operators.batching import collate, length_grouped_batches
 from colloquy.operators.generation import Loader, generate_answers
 from colloquy.operators.rows import filter_nonblank_text
 from colloquy.operators.vocabulary import tokenize
+from colloquy.session import cut_lineage
 
 
 def encode_corpus(
@@ -18,6 +19,7 @@ def encode_corpus(
     block_size: int = BLOCK_SIZE, seed: int = SEED,
 ) -> DataFrame:
     """Tokenize, batch by length, pad: one row per example with its ``batch_id``."""
+    vocab = cut_lineage(vocab)  # used twice below
     if pad_id is None:
         pad_id = vocab.filter(F.col("token") == EOS).first()["id"]
     tokens = tokenize(df, vocab, block_size, keep=[key], key=key)
