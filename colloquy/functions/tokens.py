@@ -10,20 +10,20 @@ from pyspark.sql import functions as F
 
 from colloquy.constants import SPECIALS
 
-# Fixed value: the published GPT-style split, without its lookahead. '<' never
+# The published GPT-style split, without its lookahead. '<' never
 # joins the space before it: that space would split a special tag that follows.
-_PIECES = (
-    r"'(?:s|t|re|ve|m|ll|d)"
-    r"| ?\p{L}+"
-    r"| ?\p{N}+"
-    r"| ?[^\p{Z}\t\n\x0B\f\r\x{85}\p{L}\p{N}<]+"
-    r"|<"
-    r"|[\p{Z}\t\n\x0B\f\r\x{85}]+"
+_WORDS = (r" ?\p{L}+", r" ?\p{N}+")
+_REST = (
+    r"'(?:s|t|re|ve|m|ll|d)",
+    r" ?[^\p{Z}\t\n\x0B\f\r\x{85}\p{L}\p{N}<]+",
+    r"<",
+    r"[\p{Z}\t\n\x0B\f\r\x{85}]+",
 )
 
 
 def piece_pattern(specials: Sequence[str] = SPECIALS) -> str:
-    return "|".join([*(re.escape(tag) for tag in specials), _PIECES])
+    """The alternation of all pieces; the most frequent ones are tried first."""
+    return "|".join([*_WORDS, *(re.escape(tag) for tag in specials), *_REST])
 
 
 def pretokenize(c: Column, specials: Sequence[str] = SPECIALS) -> Column:

@@ -69,6 +69,20 @@ def apply_cutoffs(
     return joined.filter(F.col("__cap").isNull() | (place_of(key, seed) <= F.col("__cap"))).drop("__source", "__cap")
 
 
+def cap_one_source(
+    df: DataFrame, name: str, cutoffs: DataFrame, targets: Mapping[str, int], key: str, seed: int = SEED
+) -> DataFrame:
+    """``apply_cutoffs`` for rows of a single source that need no ``source`` column.
+
+    The cut-off is one value, so rows are dropped right above the scan, before
+    any work is done on them.
+    """
+    if targets.get(name, 1) <= 0:
+        return df.filter(F.lit(False))
+    cap = cutoffs.filter(F.col("source") == name).select("cap").scalar()
+    return df.filter(F.coalesce(place_of(key, seed) <= cap, F.lit(True)))
+
+
 def cap_sources(
     df: DataFrame, targets: Mapping[str, int], key: str, seed: int = SEED, source: str = "source"
 ) -> DataFrame:

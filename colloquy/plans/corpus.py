@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +12,7 @@ from colloquy.operators.dialogues import as_text, clean_corpus, count_source
 from colloquy.operators.mixing import (
     apply_cutoffs,
     apply_split,
+    cap_one_source,
     held_out_shares,
     source_cutoffs,
     split_limits,
@@ -31,25 +32,30 @@ def default_targets(total: int = TOTAL) -> dict[str, int]:
     return {name: int(share * total) for name, share in SHARES.items()}
 
 
-def two_message_dialogues(sources: Mapping[str, DataFrame], key: str = "id") -> DataFrame:
+def two_message_dialogues(
+    sources: Mapping[str, DataFrame], key: str = "id",
+    keep: Callable[[DataFrame, str], DataFrame] = lambda df, name: df,
+) -> DataFrame:
     """Convert every source and keep two-message dialogues: ``(key, source, dialogue)``.
 
     ``key`` becomes ``source:key``, unique over the mixture. Sources that always
     give two messages are not checked, so that a later step that asks only for
-    keys reads no text from them.
+    keys reads no text from them. ``keep`` may drop source records before they
+    are converted.
     """
     parts = []
     for name, df in sources.items():
         if name not in CONVERTERS:
             raise ValueError(f"unknown source {name!r}; known: {sorted(CONVERTERS)}")
         stored = STORED_NAME.get(name, name)
-        named = F.concat(F.lit(f"{stored}:"), F.col(key).cast("string")).alias(key)
-        dialogue = CONVERTERS[name](df)
+        named = df.withColumn(key, F.concat(F.lit(f"{stored}:"), F.col(key).cast("string")))
+        records = keep(named, stored)
+        dialogue = CONVERTERS[name](records)
         if name in MAY_REJECT:
-            converted = filter_turn_count(compute_once(df, dialogue=dialogue))
+            converted = filter_turn_count(compute_once(records, dialogue=dialogue))
         else:
-            converted = df.select(key, dialogue.alias("dialogue"))
-        parts.append(converted.select(named, F.lit(stored).alias("source"), "dialogue"))
+            converted = records.withColumn("dialogue", dialogue)
+        parts.append(converted.select(key, F.lit(stored).alias("source"), "dialogue"))
     return union_all(parts)
 
 
@@ -63,15 +69,18 @@ def prepare_corpus(
     of the uncleaned mixture. The ``(source, key)`` pairs are written to the
     checkpoint folder and the cut-offs, a row per target and one for the splits,
     are computed from them. The texts then go from scan to result in one pass
-    without a shuffle.
+    without a shuffle, and records above their source's cut-off are dropped
+    before they are converted. A cut-off is a record that was not rejected, so
+    dropping first keeps the same dialogues.
     """
     targets = default_targets() if targets is None else targets
-    dialogues = two_message_dialogues(sources, key)
-    index = cut_lineage(dialogues.select("source", key))
+    index = cut_lineage(two_message_dialogues(sources, key).select("source", key))
     caps = cut_lineage(source_cutoffs(index, targets, key, seed))
     kept = apply_cutoffs(index, caps, targets, key, seed)
     limits = cut_lineage(split_limits(kept, *held_out_shares(val, test), key, seed))
-    balanced = apply_cutoffs(dialogues, caps, targets, key, seed)
+    balanced = two_message_dialogues(
+        sources, key, lambda df, name: cap_one_source(df, name, caps, targets, key, seed)
+    )
     cleaned = filter_nonempty(clean_corpus(apply_split(balanced, limits, key, seed)), "dialogue")
     return as_text(cleaned, "split", key)
 
