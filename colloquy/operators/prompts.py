@@ -49,34 +49,53 @@ def build_prompts(
     """For each user turn, the whole conversation so far as a prompt.
 
     User lines carry the user tag, all others the assistant tag, and the prompt
-    ends with an open assistant tag. ``history`` keeps that many earlier lines:
-    then a conversation of any length is cut into chunks that overlap by
-    ``history`` lines, so no task holds more than a chunk. Without it each
-    prompt repeats the conversation up to its turn, which only suits
-    conversations that fit one cell. Turn numbers are unique in a conversation.
+    ends with an open assistant tag. ``history`` keeps that many earlier lines.
+    Turn numbers are unique in a conversation.
+
+    Long conversations are cut into chunks, so no task sorts more than a chunk.
+    With ``history`` the chunks overlap by that many lines. Without it the text
+    of all earlier chunks is put in front; each prompt then repeats the
+    conversation, so the output is quadratic in its length by definition.
     """
-    tag = F.when(F.col(role) == "user", USER).otherwise(ASSISTANT)
-    lines = df.select(
-        conv, turn, (F.col(role) == "user").alias("__asks"), F.concat(tag, F.lit(" "), F.col(text)).alias("__line")
-    )
-    if history is None:
-        frame = W.partitionBy(conv).orderBy(turn).rowsBetween(W.unboundedPreceding, 0)
-        seen = lines.withColumn("__own", F.lit(True))
-    else:
-        size = max(_CHUNK, history)
-        ranked = ordinal_rank(lines, turn, [conv], out="__pos")
-        home = F.floor((F.col("__pos") - 1) / size)
-        needed_next = (F.col("__pos") - 1) % size >= size - history
-        chunks = F.when(needed_next, F.array(home, home + 1)).otherwise(F.array(home))
-        seen = ranked.select("*", home.alias("__home"), F.explode(chunks).alias("__chunk"))
-        seen = seen.withColumn("__own", F.col("__home") == F.col("__chunk"))
-        frame = W.partitionBy(conv, "__chunk").orderBy("__pos").rowsBetween(-history, 0)
-    prompt = F.concat(F.array_join("__lines", "\n"), F.lit("\n" + ASSISTANT + " "))
-    return (
-        seen.withColumn("__lines", F.collect_list("__line").over(frame))
-        .filter(F.col("__own") & F.col("__asks"))
-        .select(conv, turn, prompt.alias("prompt"))
+    asks = F.col(role) == "user"
+    tag = F.when(asks, USER).otherwise(ASSISTANT)
+    lines = df.select(conv, turn, asks.alias("__asks"), F.concat(tag, F.lit(" "), F.col(text)).alias("__line"))
+    seen = _within_chunks(lines, conv, turn) if history is None else _recent(lines, conv, turn, history)
+    return seen.select(conv, turn, F.concat("__seen", F.lit("\n" + ASSISTANT + " ")).alias("prompt"))
+
+
+def _recent(lines: DataFrame, conv: str, turn: str, history: int) -> DataFrame:
+    """Each asking line with up to ``history`` lines before it."""
+    size = max(_CHUNK, history)
+    ranked = ordinal_rank(lines, turn, [conv], out="__pos")
+    home = F.floor((F.col("__pos") - 1) / size)
+    needed_next = (F.col("__pos") - 1) % size >= size - history
+    chunks = F.when(needed_next, F.array(home, home + 1)).otherwise(F.array(home))
+    spread = ranked.select("*", home.alias("__home"), F.explode(chunks).alias("__chunk"))
+    frame = W.partitionBy(conv, "__chunk").orderBy("__pos").rowsBetween(-history, 0)
+    seen = spread.withColumn("__seen", F.array_join(F.collect_list("__line").over(frame), "\n"))
+    return seen.filter(F.col("__asks") & (F.col("__home") == F.col("__chunk")))
+
+
+def _within_chunks(lines: DataFrame, conv: str, turn: str) -> DataFrame:
+    """Each asking line with all lines before it."""
+    chunked = lines.withColumn("__chunk", F.floor(F.col(turn) / _CHUNK))
+    frame = W.partitionBy(conv, "__chunk").orderBy(turn).rowsBetween(W.unboundedPreceding, 0)
+    seen = chunked.withColumn("__seen", F.array_join(F.collect_list("__line").over(frame), "\n")).filter("__asks")
+
+    # Usually no conversation has a second chunk; this side is then empty.
+    spans = chunked.groupBy(conv).agg(F.min("__chunk").alias("__lo"), F.max("__chunk").alias("__hi"))
+    long = spans.filter(F.col("__lo") < F.col("__hi")).select(conv)
+    ordered = F.array_sort(F.collect_list(F.struct(F.col(turn).alias("t"), F.col("__line").alias("l"))))
+    texts = chunked.join(long, conv, "left_semi").groupBy(conv, "__chunk").agg(ordered.alias("__lines"))
+    before = W.partitionBy(conv).orderBy("__chunk").rowsBetween(W.unboundedPreceding, -1)
+    text = F.array_join(F.transform("__lines", lambda s: s["l"]), "\n")
+    earlier = texts.withColumn("__text", text).select(
+        conv, "__chunk", F.collect_list("__text").over(before).alias("__earlier")
     )
+    joined = seen.join(earlier, [conv, "__chunk"], "left")
+    parts = F.concat(F.coalesce("__earlier", F.array().cast("array<string>")), F.array("__seen"))
+    return joined.withColumn("__seen", F.array_join(parts, "\n"))
 
 
 def truncate_to_context(df: DataFrame, column: str = "prompt", max_len: int = CONTEXT_SIZE) -> DataFrame:

@@ -66,6 +66,19 @@ def test_write_corpus(spark, tmp_path):
     assert sum(r["rows"] for r in counts.collect()) == len(records)
 
 
+def test_rejected_records_do_not_count_towards_a_cap(spark):
+    from colloquy.catalog.queries import corpus_sources
+
+    nq = {"natural-questions": corpus_sources(spark, SF_DIR)["natural-questions"]}
+    accepted = corpus.two_message_dialogues(nq).count()
+    assert 20 < accepted < nq["natural-questions"].count()
+    for target in (0, 1, 20, accepted, accepted + 1):
+        prepared = corpus.prepare_corpus(nq, {"nq": target}, val=0.1, test=0.1)
+        assert prepared.count() == min(target, accepted)
+    with pytest.raises(ValueError, match="unknown source"):
+        corpus.prepare_corpus({"other": nq["natural-questions"]}, {})
+
+
 def test_final_pass_of_prepare_corpus_shuffles_no_text(spark):
     from colloquy.catalog.queries import corpus_sources, corpus_targets
 
