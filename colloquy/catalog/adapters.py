@@ -34,7 +34,7 @@ def dolly(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("response")
     )
     pairs = asked.join(answered, ["conv_id", "turn"])
-    return pairs.select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), "instruction", "response")
+    return pairs.select(F.concat_ws("-", "conv_id", "turn").alias("id"), "instruction", "response")
 
 
 def sciq(spark: SparkSession, sf_dir: str) -> DataFrame:

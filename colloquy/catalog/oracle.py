@@ -123,7 +123,7 @@ DIRT = """CASE WHEN doc_id % 4 = 0 THEN text
 
 ALPACA = """SELECT p_partkey AS id, p_name AS instruction,
   CASE p_size % 3 WHEN 1 THEN '' WHEN 2 THEN p_type END AS input, p_brand AS output FROM part"""
-DOLLY = """SELECT u.conv_id * 1000 + u.turn AS id, u.text AS instruction, a.text AS response
+DOLLY = """SELECT u.conv_id || '-' || u.turn AS id, u.text AS instruction, a.text AS response
   FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1
   WHERE u.role = 'user' AND a.role = 'assistant'"""
 SCIQ = """SELECT doc_id AS id, split_part(text, chr(10), 1) AS question,

@@ -374,7 +374,7 @@ def take_n(spark, sf_dir):
 
 @query
 def union_all(spark, sf_dir):
-    parts = [_converted(spark, sf_dir, n).select(F.lit(n).alias("name"), "id") for n in ("alpaca", "dolly", "sciq")]
+    parts = [_converted(spark, sf_dir, n).select(F.lit(n).alias("name"), F.col("id").cast("string")) for n in ("alpaca", "dolly", "sciq")]
     return mixing.union_all([*parts, parts[0]])
 
 
