@@ -29,7 +29,8 @@ _MARKUP = (
     r"|![a-z][^>]*>"
     r"|\?[^>]*>"
     # A tag starts with a letter ("a < b" is text); quoted values may hold '>'.
-    r"""|/?[a-z](?:[^"'>]*(?:"[^"]*"|'[^']*'))*[^"'>]*>"""
+    # Possessive, so a tag with any number of attributes needs no stack.
+    r"""|/?[a-z](?:[^"'>]*+(?:"[^"]*+"|'[^']*+'))*+[^"'>]*+>"""
     r"|/?[a-z][^>]*>"
     r")"
 )
@@ -125,7 +126,12 @@ def strip_html(c: Column) -> Column:
     White space inside is left for ``collapse_ws``; comments, doctype, script,
     style and template content are not visible.
     """
-    return decode_entities(F.regexp_replace(c, _MARKUP, " "))
+
+    def drop_markup(t: Column) -> Column:
+        # All markup ends in '>': text without one is not searched.
+        return F.when(F.contains(t, F.lit(">")), F.regexp_replace(t, _MARKUP, " ")).otherwise(t)
+
+    return decode_entities(let(c, drop_markup))
 
 
 def strip_tags(c: Column) -> Column:

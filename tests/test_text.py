@@ -64,6 +64,12 @@ def test_strip_html_cases(apply):
     assert dict(zip(cases, apply(shown, list(cases)))) == cases
 
 
+def test_strip_html_of_hostile_text(apply):
+    quotes = '<a ' + '"q" ' * 50_000
+    opened = "x<y " * 20_000
+    assert apply(shown, [quotes, quotes + ">end", opened]) == [quotes.strip(), "end", opened.strip()]
+
+
 def test_strip_html_equals_a_parser_on_all_pages(spark):
     pages = spark.read.parquet(f"{SF_DIR}/pages.parquet")
     for row in pages.select("html", shown(F.col("html")).alias("text")).collect():
