@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from colloquy.llm import packing
+from colloquy.llm import packing, simhash
 from colloquy.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,3 +28,8 @@ def word_vocabulary() -> str:
 @query
 def op10_best_fit_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), word_vocabulary())
+
+
+@query
+def op7_simhash_near_dedup(spark, sf_dir):
+    return simhash.near_components(table(spark, sf_dir, "documents"))
