@@ -101,12 +101,14 @@ def fingerprints(rows: DataFrame, texts: dict[str, str], keep: list[str]) -> Dat
         *(pair_hashes(F.col(t)).alias(f"__p{i}") for i, t in enumerate(texts.values())),
     )
     sides = range(len(outs))
+
+    def marked(side: int):
+        return lambda h: F.struct(F.lit(side).alias("side"), h.alias("h"))
+
     sized = listed.select(
         *keep, *(hex_lanes(F.col(f"__e{i}")).alias(f"__e{i}") for i in sides),
         *(F.size(f"__p{i}").cast("bigint").alias(f"__n{i}") for i in sides),
-        F.concat(
-            *(F.transform(f"__p{i}", lambda h, i=i: F.struct(F.lit(i).alias("side"), h.alias("h"))) for i in sides)
-        ).alias("__pairs"),
+        F.concat(*(F.transform(f"__p{i}", marked(i)) for i in sides)).alias("__pairs"),
     )
     keys = [*keep, *(f"__e{i}" for i in sides), *(f"__n{i}" for i in sides)]
     pairs = sized.select(*keys, F.inline("__pairs"))

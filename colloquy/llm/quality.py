@@ -14,9 +14,12 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from colloquy.llm.common import stored
 
-FIT_ROWS = 20_000  # labelled documents that the text evidence is fitted on
+FIT_ROWS = 40_000  # labelled documents that the text evidence is fitted on
 MAX_WEIGHTS = 50_000  # features sent to the workers
-MIN_Z = 4.0  # a feature counts when its log odds are this many standard errors from 0
+MIN_GAIN = 25.0  # a feature counts when its likelihood ratio statistic is at least this, some five standard errors
+WORD_ODDS = 4.0  # words count only when they raise the log odds by this much or more
+SHAPE = "="  # first letter of features that are no words
+SHRINK = 50.0  # likelihood ratio statistic at which a feature keeps half of its log odds
 PREFIX = 4
 GROUND = 0.5  # pseudo-count of every feature in either class
 
@@ -67,17 +70,21 @@ def sampled_labels(labels: DataFrame, verdicts: Mapping[str, Column], rows: int)
 
 def fit_evidence(
     docs: DataFrame, labels: DataFrame, verdicts: Mapping[str, Column], rows: int = FIT_ROWS,
-    max_weights: int = MAX_WEIGHTS, min_z: float = MIN_Z,
+    max_weights: int = MAX_WEIGHTS, min_gain: float = MIN_GAIN,
 ) -> dict[str, dict[str, float]]:
     """Log odds of every telling feature, per verdict.
 
     Fitted on a bounded sample of the labels; features are counted in grouped
-    aggregations, and only those whose log odds differ from 0 beyond doubt are
-    kept, the surest ``max_weights`` of them.
+    aggregations, and only those that tell the classes apart beyond doubt are
+    kept, the surest ``max_weights`` of them. Words count only as marks of bad
+    texts: the many that are a little more common in one class are so because of
+    their language or of copies, and their sum would outweigh everything else. Log
+    odds are shrunk towards 0 by how little their counts prove.
     """
     names = list(verdicts)
     sample = F.broadcast(sampled_labels(labels, verdicts, rows))
     texts = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).join(sample, "doc_id")
+    texts = texts.withColumn("__copy", F.xxhash64("text")).dropDuplicates(["__copy"])  # copies tell nothing new
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -113,10 +120,17 @@ def fit_evidence(
             continue  # one class only: the text tells nothing
         b, g = F.col(f"bad{i}") + GROUND, F.col(f"good{i}") + GROUND
         odds = F.log(b / g) - F.log(F.lit((totals[f"bad{i}"] + 2 * GROUND) / (totals[f"good{i}"] + 2 * GROUND)))
-        z = F.abs(odds) / F.sqrt(1 / b + 1 / g)
-        surest = table.filter(F.col("feature") != "").select("feature", odds.alias("odds"), z.alias("z"))
-        surest = surest.filter(F.col("z") >= min_z).orderBy(F.desc("z"), "feature").limit(max_weights)
-        weights[name] = {r["feature"]: r["odds"] for r in surest.collect()}
+        rate = totals[f"bad{i}"] / (totals[f"bad{i}"] + totals[f"good{i}"])
+        seen = F.col(f"bad{i}") + F.col(f"good{i}")
+
+        def surprise(n: Column, expected: Column) -> Column:
+            return F.when(n > 0, n * F.log(n / expected)).otherwise(0.0)
+
+        gain = 2 * (surprise(F.col(f"bad{i}"), seen * rate) + surprise(F.col(f"good{i}"), seen * (1 - rate)))
+        surest = table.filter(F.col("feature") != "").select("feature", odds.alias("odds"), gain.alias("gain"))
+        telling = F.col("feature").startswith(SHAPE) | (F.col("odds") >= WORD_ODDS)
+        surest = surest.filter((F.col("gain") >= min_gain) & telling).orderBy(F.desc("gain"), "feature").limit(max_weights)
+        weights[name] = {r["feature"]: r["odds"] * r["gain"] / (r["gain"] + SHRINK) for r in surest.collect()}
     return weights
 
 

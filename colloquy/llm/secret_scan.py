@@ -143,8 +143,11 @@ def scan(
     def number(test) -> Column:
         return F.size(F.filter("all", test)).cast("bigint")
 
+    def of_kind(kind: int):
+        return lambda s: s["kind"] == kind
+
     per_row = per_row.select(
-        "row", *(number(lambda s, k=k: s["kind"] == k).alias(f"n_{KINDS[k]}") for k in range(len(KINDS))),
+        "row", *(number(of_kind(k)).alias(f"n_{KINDS[k]}") for k in range(len(KINDS))),
         F.sha2(_listing(F.col("base")), 256).alias("base_sha256"), _listing(F.col("all")).alias("spans"),
         number(lambda s: s["live"]).alias("n_live"),
     )
