@@ -61,8 +61,8 @@ def hex_lanes(lanes: Column) -> Column:
 
 def number_lanes(digits: Column) -> Column:
     """The lanes of ``hex_lanes`` as numbers."""
-    every = F.sequence(F.lit(0), F.length(digits).cast("int") / 8 - 1)
-    return F.transform(every, lambda i: F.conv(F.substring(digits, (8 * i + 1).cast("int"), F.lit(8)), 16, 10).cast("bigint"))
+    each = F.regexp_extract_all(digits, F.lit("[0-9a-f]{8}"), F.lit(0))
+    return F.transform(each, lambda d: F.conv(d, 16, 10).cast("bigint"))
 
 
 def combined(a: Column, b: Column, sign: int = 1) -> Column:
@@ -72,7 +72,7 @@ def combined(a: Column, b: Column, sign: int = 1) -> Column:
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Cosine of the like parts of two fingerprints, 0 at least; 1 for equal fingerprints."""
+    """Cosine of the like parts of two fingerprints, 0 at least; 1 for equal fingerprints, null beside a null."""
 
     def signed(digits: Column) -> Column:
         lanes = number_lanes(F.substring(digits, 8 * EXACT + 1, 8 * LIKE))
@@ -85,7 +85,8 @@ def likeness(a: Column, b: Column) -> Column:
     dot = total(F.zip_with(x, y, lambda p, q: p * q))
     norms = F.sqrt(total(F.transform(x, lambda p: p * p)) * total(F.transform(y, lambda p: p * p)))
     cosine = F.when(norms > 0, F.round(dot / norms, 12)).otherwise(0.0)
-    return F.when(a == b, F.lit(1.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), cosine)))
+    some = F.greatest(F.lit(0.0), F.least(F.lit(1.0), cosine))
+    return F.when(a == b, F.lit(1.0)).when(a.isNotNull() & b.isNotNull(), some)
 
 
 def fingerprints(rows: DataFrame, texts: dict[str, str], keep: list[str]) -> DataFrame:

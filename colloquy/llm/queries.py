@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colloquy.llm import decontaminate, packing, quality, secret_scan, simhash, url_filter
+from colloquy.llm import decontaminate, fingerprints, packing, quality, secret_scan, simhash, url_filter
 from colloquy.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -176,3 +176,8 @@ def op7_simhash_near_dedup(spark, sf_dir):
 @query
 def op10_best_fit_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), word_vocabulary())
+
+
+@query
+def op6_document_fingerprints(spark, sf_dir):
+    return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
