@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colloquy.llm import decontaminate, fingerprints, packing, quality, secret_scan, simhash, url_filter
+from colloquy.llm import decontaminate, fingerprints, packing, quality, secret_scan, simhash, url_filter, warc
 from colloquy.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -181,3 +181,17 @@ def op10_best_fit_packing(spark, sf_dir):
 @query
 def op6_document_fingerprints(spark, sf_dir):
     return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_warc(spark, sf_dir):
+    return warc.archive_round_trip(table(spark, sf_dir, "pages"))
+
+
+ORACLE["op5_warc"] = f"""
+WITH p AS (SELECT page_id, sha256(coalesce(html, '')) digest, strlen(coalesce(html, '')) bytes FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY digest) first FROM p)
+SELECT page_id, bytes AS payload_bytes, digest AS payload_digest,
+  CASE WHEN bytes >= {warc.REVISIT_BYTES} AND first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN bytes >= {warc.REVISIT_BYTES} AND first <> page_id THEN first END AS refers_to FROM f
+"""
