@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colloquy.llm import decontaminate, fingerprints, packing, quality, secret_scan, simhash, url_filter, warc
+from colloquy.llm import decontaminate, fingerprints, lattice, packing, quality, secret_scan, simhash, url_filter, warc
 from colloquy.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -195,3 +195,14 @@ SELECT page_id, bytes AS payload_bytes, digest AS payload_digest,
   CASE WHEN bytes >= {warc.REVISIT_BYTES} AND first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
   CASE WHEN bytes >= {warc.REVISIT_BYTES} AND first <> page_id THEN first END AS refers_to FROM f
 """
+
+
+def piece_model() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query
+def op9_lm_scoring(spark, sf_dir):
+    return lattice.score_documents(table(spark, sf_dir, "documents"), piece_model())
