@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colloquy.llm import decontaminate, fingerprints, lattice, packing, quality, secret_scan, simhash, url_filter, warc
+from colloquy.llm import decontaminate, fingerprints, lattice, packing, quality, secret_scan, simhash, url_filter, warc, windows
 from colloquy.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -206,3 +206,8 @@ def piece_model() -> str:
 @query
 def op9_lm_scoring(spark, sf_dir):
     return lattice.score_documents(table(spark, sf_dir, "documents"), piece_model())
+
+
+@query
+def op8_substring_dedup(spark, sf_dir):
+    return windows.repeated_passages(table(spark, sf_dir, "documents"))
