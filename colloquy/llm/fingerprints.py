@@ -4,7 +4,7 @@ A fingerprint is a sum of wide vectors, one per paragraph, lane by lane modulo
 2**32. So the order of paragraphs does not matter, and inserting or deleting one
 adds or subtracts its vector (``combined``). A paragraph's vector has two parts:
 
-* ``EXACT`` lanes cut from the SHA-512 of the paragraph. Sums of them are equal for
+* ``EXACT`` lanes hashed from the SHA-512 of the paragraph. Sums of them are equal for
   equal multisets of paragraphs and differ for others (but for 2**-512 chances).
 * ``LIKE`` lanes of +1 or -1 per pair of neighbouring words, from the bits of the
   pair's hash, begin and end of the paragraph included. The cosine of two such sums
@@ -33,10 +33,10 @@ def exact_lanes(text: Column) -> Column:
 
     def vector(paragraph: Column) -> Column:
         digest = F.sha2(paragraph, 512)
-        return F.array(*(F.conv(F.substring(digest, 1 + 8 * i, 8), 16, 10).cast("bigint") for i in range(EXACT)))
+        return F.array(*(F.xxhash64(digest, F.lit(i)).bitwiseAND(F.lit(MODULUS - 1)) for i in range(EXACT)))
 
     def add(total: Column, own: Column) -> Column:
-        return F.zip_with(total, own, lambda a, b: (a + b) % MODULUS)
+        return F.zip_with(total, own, lambda a, b: (a + b).bitwiseAND(F.lit(MODULUS - 1)))
 
     zero = F.array_repeat(F.lit(0).cast("bigint"), EXACT)
     return F.aggregate(F.transform(_paragraphs(text), vector), zero, add)
@@ -97,38 +97,25 @@ def fingerprints(rows: DataFrame, texts: dict[str, str], keep: list[str]) -> Dat
     Equal rows are summed together once and told apart by their count.
     """
     outs = list(texts)
-    listed = rows.select(
-        *keep, *(exact_lanes(F.col(t)).alias(f"__e{i}") for i, t in enumerate(texts.values())),
-        *(pair_hashes(F.col(t)).alias(f"__p{i}") for i, t in enumerate(texts.values())),
+    sides = F.array(*(F.struct(F.lit(i).alias("side"), F.col(t).alias("__text")) for i, t in enumerate(texts.values())))
+    each = rows.select(*keep, F.inline(sides))
+    pairs = each.select(
+        *keep, "side", hex_lanes(exact_lanes(F.col("__text"))).alias("__exact"), pair_hashes(F.col("__text")).alias("__pairs")
     )
-    sides = range(len(outs))
-
-    def marked(side: int):
-        return lambda h: F.struct(F.lit(side).alias("side"), h.alias("h"))
-
-    sized = listed.select(
-        *keep, *(hex_lanes(F.col(f"__e{i}")).alias(f"__e{i}") for i in sides),
-        *(F.size(f"__p{i}").cast("bigint").alias(f"__n{i}") for i in sides),
-        F.concat(*(F.transform(f"__p{i}", marked(i)) for i in sides)).alias("__pairs"),
+    pairs = pairs.withColumn("__size", F.size("__pairs").cast("bigint"))
+    keys = [*keep, "side", "__exact", "__size"]
+    hashes = pairs.select(*keys, F.explode("__pairs").alias("h"))
+    counted = hashes.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), *bit_sums(F.col("h")))
+    counted = counted.withColumn("__times", F.expr("__n div __size"))
+    counted = counted.withColumn("__bits", F.array(*(bit_count(j) for j in range(LIKE))))
+    like = F.transform("__bits", lambda c: F.pmod(2 * F.floor(c / F.col("__times")) - F.col("__size"), F.lit(MODULUS)))
+    prints = counted.select(*keep, "side", "__times", F.concat("__exact", hex_lanes(like)).alias("print"))
+    wide = prints.groupBy(*keep).agg(
+        F.max("__times").alias("__times"),
+        *(F.max(F.when(F.col("side") == i, F.col("print"))).alias(name) for i, name in enumerate(outs)),
     )
-    keys = [*keep, *(f"__e{i}" for i in sides), *(f"__n{i}" for i in sides)]
-    pairs = sized.select(*keys, F.inline("__pairs"))
-    sums = [
-        s.alias(f"__{i}_{j}")
-        for i in sides
-        for j, s in enumerate(bit_sums(F.when(F.col("side") == i, F.col("h"))))
-    ]
-    counted = pairs.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"), *sums)
-    times = F.expr("__rows div (" + " + ".join(f"__n{i}" for i in sides) + ")")
-    out = counted.withColumn("__times", times)
-    for i, name in enumerate(outs):
-        lanes = out.withColumnsRenamed({f"__{i}_{j}": f"__s{j}" for j in range(32)})
-        out = lanes.withColumn("__bits", F.array(*(bit_count(j) for j in range(LIKE))))
-        like = F.transform("__bits", lambda c: F.pmod(2 * F.floor(c / F.col("__times")) - F.col(f"__n{i}"), F.lit(MODULUS)))
-        out = out.withColumn(name, F.concat(F.col(f"__e{i}"), hex_lanes(like)))
-        out = out.drop("__bits", *(f"__s{j}" for j in range(32)))
     repeated = F.sequence(F.lit(1).cast("bigint"), F.col("__times"))
-    return out.select(*keep, *outs, F.explode(repeated).alias("__i")).drop("__i")
+    return wide.select(*keep, *outs, F.explode(repeated).alias("__i")).drop("__i")
 
 
 def neighbours(ids: DataFrame) -> DataFrame:
@@ -176,28 +163,28 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("text"))
-    ids = rows.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
-        F.max(F.length("text")).cast("bigint").alias("n")
-    )
+    named = rows.filter(F.col("doc_id").isNotNull())
+    ids = named.groupBy("doc_id").agg(F.max(F.length("text")).cast("bigint").alias("n"))
     ring = stored(neighbours(ids), "ring")
+    # Both joins deal the same columns by id, so the texts are shuffled once for them.
     third = F.floor(F.col("previous_n") / 3).cast("int")
-    heads = rows.join(ring, "doc_id").select(
+    heads = named.join(ring, "doc_id").select(
         F.col("previous_id").alias("doc_id"), F.substring(F.col("text"), F.lit(1), third).alias("head")
     )
     heads = heads.groupBy("doc_id").agg(F.min("head").alias("head"))
+    joined = named.join(heads, "doc_id").select("doc_id", "text", "head")
     n = F.length("text")
     cut = F.floor(n / 3).cast("int")
-    edited = F.concat(
-        F.substring(F.col("text"), F.lit(1), n - cut), F.substring(F.coalesce("head", F.lit("")), F.lit(1), cut)
-    )
-    both = rows.join(heads, "doc_id", "left").select(
-        "doc_id", n.cast("bigint").alias("n_chars"), "text", edited.alias("edited")
-    )
-    both = both.withColumn("edited_sha256", F.sha2("edited", 256))
-    prints = fingerprints(
-        both, {"fingerprint": "text", "edited_fingerprint": "edited"}, ["doc_id", "n_chars", "edited_sha256"]
-    )
-    prints = stored(prints, "prints")
+    edited = F.concat(F.substring(F.col("text"), F.lit(1), n - cut), F.substring(F.col("head"), F.lit(1), cut))
+
+    def printed(both: DataFrame) -> DataFrame:
+        both = both.select("doc_id", n.cast("bigint").alias("n_chars"), "text", edited.alias("edited"))
+        both = both.withColumn("edited_sha256", F.sha2("edited", 256))
+        texts = {"fingerprint": "text", "edited_fingerprint": "edited"}
+        return fingerprints(both, texts, ["doc_id", "n_chars", "edited_sha256"])
+
+    unnamed = rows.filter(F.col("doc_id").isNull()).withColumn("head", F.lit(""))
+    prints = stored(printed(joined).union(printed(unnamed)), "prints")
     following = prints.groupBy("doc_id").agg(F.min("fingerprint").alias("next_fingerprint"))
     following = ring.select("doc_id", "next_id").join(following.withColumnRenamed("doc_id", "next_id"), "next_id")
     joined = prints.join(following.select("doc_id", "next_fingerprint"), "doc_id", "left")

@@ -1,7 +1,9 @@
 import hashlib
 import random
+import struct
 
 import numpy as np
+import xxhash
 from pyspark.sql import functions as F
 
 from colloquy.llm import fingerprints as fp
@@ -12,8 +14,8 @@ from tests.conftest import SF_DIR
 def exact(text):
     total = [0] * fp.EXACT
     for p in text.split("\n"):
-        digest = hashlib.sha512(p.encode()).hexdigest()
-        total = [(t + int(digest[8 * i : 8 * i + 8], 16)) % fp.MODULUS for i, t in enumerate(total)]
+        seed = xxhash.xxh64_intdigest(hashlib.sha512(p.encode()).hexdigest(), 42)
+        total = [(t + xxhash.xxh64_intdigest(struct.pack("<i", i), seed)) % fp.MODULUS for i, t in enumerate(total)]
     return "".join(f"{t:08x}" for t in total)
 
 
