@@ -70,6 +70,10 @@ def nq(spark: SparkSession, sf_dir: str) -> DataFrame:
 SOURCES = {"alpaca": alpaca, "dolly": dolly, "sciq": sciq, "natural-questions": nq}
 
 
+# The text that stands for a record where records are only mixed and split.
+TEXT_OF = {"alpaca": "instruction", "dolly": "response", "sciq": "question", "natural-questions": "question.text"}
+
+
 def dirt(text: Column, key: Column) -> Column:
     """Markup, quotes, control characters, Unicode space and blanks, by key."""
     return (
@@ -95,15 +99,21 @@ def dirty_dialogues(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def conversation_dialogues(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build_dialogue(table(spark, sf_dir, "conversations"))
+    """Turn numbers far apart, as time stamps are."""
+    turns = table(spark, sf_dir, "conversations").withColumn("turn", F.col("turn").cast("bigint") * 10_000)
+    return build_dialogue(turns)
 
 
 def metric_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One run per user; a fifth of the runs improves at every step."""
+    """One run per user with two metrics; a fifth of the runs improves at every step."""
     step = F.col("event_id")
     value = F.when(F.col("user_id") % 5 == 0, 500.0 / (step + 1)).otherwise(F.col("value"))
+    metrics = F.array(
+        F.struct(F.lit("eval_loss").alias("metric"), value.alias("value")),
+        F.struct(F.lit("learning_rate").alias("metric"), (F.col("value") / (step % 13 + 1)).alias("value")),
+    )
     return table(spark, sf_dir, "events").select(
-        F.col("user_id").alias("run_id"), step.alias("step"), F.lit("eval_loss").alias("metric"), value.alias("value")
+        F.col("user_id").alias("run_id"), step.alias("step"), F.inline(metrics)
     )
 
 

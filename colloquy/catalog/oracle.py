@@ -6,10 +6,18 @@ Spark selects cut-offs, one regular expression per kind of markup, and so on.
 
 from __future__ import annotations
 
-from colloquy.constants import ASSISTANT, CONTROL, EOS, USER, WS, WS_CHARS
-from colloquy.functions.tokens import piece_pattern
+# Fixed values, written out here so that a slip in the library shows.
+EOS, USER, ASSISTANT = "<|endoftext|>", "<|user|>", "<|assistant|>"
+SPACES = "\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+PIECE = (
+    r" ?\p{L}+| ?\p{N}+|<\|endoftext\|>|<\|user\|>|<\|assistant\|>|'(?:s|t|re|ve|m|ll|d)"
+    r"| ?[^\p{Z}\t\n\x0B\f\r\x{85}\p{L}\p{N}<]+|<|[\p{Z}\t\n\x0B\f\r\x{85}]+"
+)
+
+WS_CHARS, WS = SPACES, r"[\t-\r\x1C-\x20\x{85}\p{Z}]+"
+CONTROL = r"[\x00-\x08\x0B-\x0C\x0E-\x1F]"
 
-VOCAB_SIZE = 5000
+VOCAB_SIZE = 50_256
 BATCH = 8
 
 
@@ -106,7 +114,7 @@ def cleaned_dialogue(dialogue: str) -> str:
 
 
 def pieces(x: str) -> str:
-    return f"regexp_extract_all({x}, {lit(piece_pattern())})"
+    return f"regexp_extract_all({x}, {lit(PIECE)})"
 
 
 def prompt(x: str) -> str:
@@ -143,6 +151,7 @@ CONVERSATIONS = (
 )
 METRIC_LOG = """SELECT user_id AS run_id, event_id AS step,
   CASE WHEN user_id % 5 = 0 THEN 500.0::DOUBLE / (event_id + 1) ELSE value END AS value FROM events"""
+LEARNING_RATES = "SELECT user_id AS run_id, event_id AS step, value / (event_id % 13 + 1) AS value FROM events"
 RESPONSES = f"""SELECT doc_id, p AS prompt, p || CASE doc_id % 4 WHEN 0 THEN text
     WHEN 1 THEN text || '{EOS} more'
     WHEN 2 THEN '{ASSISTANT} ' || text || chr(10) || '{USER} next'
@@ -198,14 +207,15 @@ def encoded(table: str, key: str, block: int) -> str:
       FROM pieces LEFT JOIN vocab v USING (token) GROUP BY {key})"""
 
 
-def batched(table: str, key: str, size: str) -> str:
+def batched(table: str, key: str, size: str, by: str = "") -> str:
     """Length-grouped batches of ``table``, with ``batch_id`` and ``batch_pos``."""
+    groups, within = (f"PARTITION BY {by}", f"{by}, ") if by else ("", "")
     return f"""SELECT * EXCLUDE (r, n, per, mega, spot), CAST(mega * per + spot // {BATCH} AS BIGINT) AS batch_id,
         CAST(spot % {BATCH} AS INTEGER) AS batch_pos FROM (
-      SELECT *, row_number() OVER (PARTITION BY mega ORDER BY {size} DESC, {key}) - 1 AS spot FROM (
+      SELECT *, row_number() OVER (PARTITION BY {within}mega ORDER BY {size} DESC, {key}) - 1 AS spot FROM (
       SELECT *, (r - 1) // (per * {BATCH}) AS mega FROM (
       SELECT *, greatest(least(n // ({BATCH} * 4), 50), 1) AS per FROM (
-      SELECT *, {rank('42:batch', key)} AS r, count(*) OVER () AS n FROM {table}))))"""
+      SELECT *, {rank('42:batch', key, by)} AS r, count(*) OVER ({groups}) AS n FROM {table}))))"""
 
 
 def joined(x: str) -> str:
@@ -249,10 +259,22 @@ def repeated(suffix: str, prompt_: str = "prompt") -> str:
 
 
 PROMPTS = f"SELECT item_id, {prompt('text')} AS prompt FROM benchmark"
-IDS_ALPACA_SCIQ = """SELECT 'alpaca:' || p_partkey AS id FROM part UNION ALL SELECT 'sciq:' || doc_id FROM documents"""
-ALL_IDS = """SELECT 'alpaca' AS source, 'alpaca:' || p_partkey AS id FROM part
-  UNION ALL SELECT 'dolly', 'dolly:' || id FROM ({dolly}) UNION ALL SELECT 'sciq', 'sciq:' || doc_id FROM documents
-  UNION ALL SELECT 'natural-questions', 'natural-questions:' || page_id FROM pages""".format(dolly=DOLLY)
+ALL_IDS = f"""SELECT 'alpaca' AS source, 'alpaca:' || id AS id, md5(instruction) AS digest FROM ({ALPACA})
+  UNION ALL SELECT 'dolly', 'dolly:' || id, md5(response) FROM ({DOLLY})
+  UNION ALL SELECT 'sciq', 'sciq:' || id, md5(question) FROM ({SCIQ})
+  UNION ALL SELECT 'natural-questions', 'natural-questions:' || id, md5(question) FROM ({NQ})"""
+IDS_ALPACA_SCIQ = f"SELECT id, digest FROM ({ALL_IDS}) WHERE source IN ('alpaca', 'sciq')"
+DOCUMENT_IDS = "(SELECT doc_id, md5(text) AS digest FROM documents)"
+
+
+def stops(log: str) -> str:
+    return f"""SELECT run_id, min(step) AS stop_step FROM (
+        SELECT run_id, step, pos - max(CASE WHEN best IS NULL OR value < best THEN pos END)
+            OVER (PARTITION BY run_id ORDER BY step) AS waited FROM (
+        SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY step) AS pos, min(value) OVER (PARTITION BY run_id
+            ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS best FROM ({log})))
+        WHERE waited >= 3 GROUP BY run_id"""
+
 
 ORACLE: dict[str, str] = {
     "read_source": "SELECT doc_id, text, lang, source, n_chars FROM documents",
@@ -313,12 +335,12 @@ ORACLE: dict[str, str] = {
         QUALIFY {rank('42', 'o_orderkey')} <= 1000""",
     "union_all": f"""SELECT 'alpaca' AS name, id FROM ({ALPACA}) UNION ALL SELECT 'dolly', id FROM ({DOLLY})
         UNION ALL SELECT 'sciq', id FROM ({SCIQ}) UNION ALL SELECT 'alpaca', id FROM ({ALPACA})""",
-    "shuffle": f"SELECT doc_id, {rank('42', 'doc_id')} AS position FROM documents",
+    "shuffle": f"SELECT doc_id, md5(text) AS digest, {rank('42', 'doc_id')} AS position FROM documents",
     "shuffle_within_language": f"SELECT doc_id, lang, {rank('42', 'doc_id', 'lang')} AS position FROM documents",
-    "balance_by_targets": f"SELECT id, source FROM ({capped(ALL_IDS)})",
-    "split_keep_ratios": split_rows("(SELECT o_orderkey FROM orders)", "o_orderkey", 0.04, 0.5),
-    "split_dataset": split_rows("(SELECT o_orderkey FROM orders)", "o_orderkey", 0.05, 0.5),
-    "mix_and_split": f"SELECT *, true AS in_raw FROM ({split_rows(f'({IDS_ALPACA_SCIQ})', 'id', 0.05, 0.5)})",
+    "balance_by_targets": f"SELECT id, source, digest, {rank('42:mix', 'id')} AS position FROM ({capped(ALL_IDS)})",
+    "split_keep_ratios": split_rows(DOCUMENT_IDS, "doc_id", 0.04, 0.5),
+    "split_dataset": split_rows(DOCUMENT_IDS, "doc_id", 0.05, 0.5),
+    "mix_and_split": f"SELECT *, {rank('42', 'id')} AS position FROM ({split_rows(f'({IDS_ALPACA_SCIQ})', 'id', 0.05, 0.5)})",
     "count_source": f"""SELECT split, source, count(*) AS rows
         FROM ({split_rows('(SELECT doc_id, source FROM documents)', 'doc_id', 0.05, 0.5)}) GROUP BY split, source""",
     "few_shot_prompt": f"""SELECT lang, block, chr(10) || string_agg('{USER}: ' || {strip("'  ' || split_part(text, chr(10), 1) || chr(9)")}
@@ -331,16 +353,14 @@ ORACLE: dict[str, str] = {
     "build_prompts": history("conversations"),
     "build_prompts_recent": history("conversations", "3 PRECEDING"),
     "context_prompts": f"""SELECT conv_id, turn, array_to_string(t, '') AS prompt, CAST(len(t) AS INTEGER) AS n_tokens FROM (
-        SELECT conv_id, turn, p[greatest(len(p) - 127, 1):] AS t FROM (
+        SELECT conv_id, turn, p[greatest(len(p) - 1023, 1):] AS t FROM (
         SELECT conv_id, turn, {pieces('prompt')} AS p FROM ({history('conversations')})))""",
     "best_checkpoint": f"""SELECT run_id, step AS best_step, value AS best_value FROM ({METRIC_LOG})
         QUALIFY row_number() OVER (PARTITION BY run_id ORDER BY value, step) = 1""",
-    "early_stop_step": f"""SELECT run_id, min(step) AS stop_step FROM (
-        SELECT run_id, step, pos - max(CASE WHEN best IS NULL OR value < best THEN pos END)
-            OVER (PARTITION BY run_id ORDER BY step) AS waited FROM (
-        SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY step) AS pos, min(value) OVER (PARTITION BY run_id
-            ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS best FROM ({METRIC_LOG})))
-        WHERE waited >= 3 GROUP BY run_id""",
+    "best_checkpoint_greater": f"""SELECT run_id, step AS best_step, value AS best_value FROM ({LEARNING_RATES})
+        QUALIFY row_number() OVER (PARTITION BY run_id ORDER BY value DESC, step) = 1""",
+    "early_stop_step": stops(METRIC_LOG),
+    "early_stop_step_greater": stops(f"SELECT run_id, step, -value AS value FROM ({LEARNING_RATES})"),
     "pretokenize": f"""SELECT doc_id, CAST(len(p) AS INTEGER) AS n, array_to_string(p, '¦') AS pieces
         FROM (SELECT doc_id, {pieces(prompt('text'))} AS p FROM documents)""",
     "build_vocab": f"WITH {VOCAB} SELECT token, CAST(id AS INTEGER) AS id FROM vocab",
@@ -350,16 +370,18 @@ ORACLE: dict[str, str] = {
         {encoded('texts', 'doc_id', 512)}
         SELECT doc_id, {joined('ids')} AS ids, CAST(len(ids) AS INTEGER) AS n FROM encoded""",
     "tokenize_keep": f"""WITH {VOCAB}, texts AS (SELECT * FROM ({DIRTY_DOCS}) WHERE {strip('text')} <> ''),
-        {encoded('texts', 'doc_id', 64)}
+        {encoded('texts', 'doc_id', 512)}
         SELECT doc_id, source, text, {joined('ids')} AS ids, CAST(len(ids) AS INTEGER) AS mask_sum
         FROM encoded JOIN texts USING (doc_id)""",
+    "encode_tokens_joined": f"""WITH {VOCAB}, texts AS (SELECT doc_id, text FROM documents),
+        {encoded('texts', 'doc_id', 1 << 30)} SELECT doc_id, {joined('ids')} AS ids FROM encoded""",
     "truncate_to_context": f"""SELECT doc_id, array_to_string(t, '') AS text, CAST(len(t) AS INTEGER) AS n_tokens FROM (
-        SELECT doc_id, p[greatest(len(p) - 99, 1):] AS t FROM (SELECT doc_id, {pieces('text')} AS p FROM documents))""",
-    "length_grouped_batches": f"""SELECT doc_id, batch_id, batch_pos
-        FROM ({batched('(SELECT doc_id, n_chars FROM documents)', 'doc_id', 'n_chars')})""",
+        SELECT doc_id, p[greatest(len(p) - 1023, 1):] AS t FROM (SELECT doc_id, {pieces('text')} AS p FROM documents))""",
+    "length_grouped_batches": f"""SELECT doc_id, digest, batch_id, batch_pos, max(n_chars) OVER (PARTITION BY batch_id) AS batch_size_max
+        FROM ({batched('(SELECT doc_id, n_chars, md5(text) AS digest FROM documents)', 'doc_id', 'n_chars')})""",
     "collate": f"""SELECT doc_id, {padded('ids', '0')} FROM (SELECT *, max(len(ids)) OVER (PARTITION BY doc_id // {BATCH}) AS longest
         FROM (SELECT doc_id, [CASE WHEN p = '{EOS}' THEN 0 ELSE length(p) END
-          for p in {pieces(f"(text || '{EOS}')")}[1:40]] AS ids FROM documents))""",
+          for p in {pieces(f"(text || '{EOS}')")}] AS ids FROM documents))""",
     "batch_generate": f'SELECT item_id, prompt, {repeated("Well.")} AS "full" FROM ({PROMPTS})',
     "batch_generate_first": f"""SELECT item_id, prompt, {first_sentence('g')} AS generation FROM (
         SELECT *, {answer(f"({repeated('Well.')})", 'prompt')} AS g FROM ({PROMPTS}) ORDER BY item_id LIMIT 5)""",
@@ -378,19 +400,23 @@ ORACLE: dict[str, str] = {
         sessions AS (SELECT *, coalesce(sum(CAST(leaves AS INTEGER)) OVER (PARTITION BY conv_id ORDER BY turn), 0) AS session FROM marked),
         spoken AS (SELECT conv_id, turn, role, session, CASE role WHEN 'user' THEN t ELSE text END AS text FROM sessions
           WHERE NOT leaves AND NOT (role = 'user' AND t = ''))
-        SELECT conv_id, turn, array_to_string(lines, chr(10)) || chr(10) || '{ASSISTANT} ' AS prompt, false AS late FROM (
+        SELECT conv_id, turn, array_to_string(p[greatest(len(p) - 1023, 1):], '') AS prompt, false AS late FROM (
+        SELECT conv_id, turn, {pieces(f"(array_to_string(lines, chr(10)) || chr(10) || '{ASSISTANT} ')")} AS p FROM (
           SELECT *, list(CASE role WHEN 'user' THEN '{USER} ' ELSE '{ASSISTANT} ' END || text) OVER (
-            PARTITION BY conv_id, session ORDER BY turn) AS lines FROM spoken) WHERE role = 'user'""",
-    "prepare_corpus": PREPARED,
+            PARTITION BY conv_id, session ORDER BY turn) AS lines FROM spoken) WHERE role = 'user')""",
+    "prepare_corpus": f"SELECT *, {rank('42:mix', 'id')} AS position FROM ({PREPARED})",
     "prepare_corpus_counts": f"SELECT split, source, count(*) AS rows FROM ({PREPARED}) GROUP BY split, source",
     "encode_corpus": f"""WITH {VOCAB}, texts AS (SELECT doc_id, {strip(rendered('dialogue'))} AS text FROM ({DIRTY_DIALOGUES})),
-        {encoded('texts', 'doc_id', 64)}, sized AS (SELECT doc_id, ids, len(ids) AS n_tokens FROM encoded),
-        batches AS ({batched('sized', 'doc_id', 'n_tokens')}),
-        wide AS (SELECT *, max(n_tokens) OVER (PARTITION BY batch_id) AS longest,
+        {encoded('texts', 'doc_id', 512)}, sized AS (SELECT doc_id, split, ids, len(ids) AS n_tokens FROM encoded
+          JOIN ({split_rows('(SELECT doc_id FROM documents)', 'doc_id', 0.2, 0.5)}) USING (doc_id)),
+        batches AS ({batched('sized', 'doc_id', 'n_tokens', 'split')}),
+        wide AS (SELECT *, max(n_tokens) OVER (PARTITION BY split, batch_id) AS longest,
           (SELECT id FROM vocab WHERE token = '{EOS}') AS pad FROM batches)
-        SELECT doc_id, batch_id, CAST(n_tokens AS INTEGER) AS n_tokens,
+        SELECT doc_id, split, batch_id, CAST(n_tokens AS INTEGER) AS n_tokens,
           {padded('ids', 'pad')} FROM wide""",
-    "score_prompts": f"""SELECT prompt, {first_sentence('g')} AS generation FROM (
-        SELECT prompt, {answer(f"({repeated('So.')})", 'prompt')} AS g FROM (
-        SELECT array_to_string({pieces('text')}[1:64], '') AS prompt FROM ({DIRTY_DOCS}) WHERE {strip('text')} <> ''))""",
+    "score_prompts": f"""WITH {VOCAB}, texts AS (SELECT * FROM ({DIRTY_DOCS}) WHERE {strip('text')} <> ''),
+        {encoded('texts', 'doc_id', 512)},
+        cut AS (SELECT doc_id, array_to_string({pieces('text')}[1:512], '') AS prompt FROM texts),
+        answered AS (SELECT doc_id, prompt, {answer(f"({repeated('So.')})", 'prompt')} AS g FROM cut)
+        SELECT doc_id, {joined('ids')} AS ids, prompt, {first_sentence('g')} AS generation FROM answered JOIN encoded USING (doc_id)""",
 }

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StringType, VariantType
 
@@ -26,7 +27,7 @@ from colloquy.streaming import chat, clean
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-VOCAB_SIZE = 5000
+VOCAB_SIZE = 50_256
 BATCH = 8
 
 
@@ -39,6 +40,18 @@ def joined(c: Column, sep: str = ",") -> Column:
     return F.array_join(c.cast("array<string>"), sep)
 
 
+def digest(*columns: str) -> Column:
+    """Hash of a record's columns: the record itself went through the operator."""
+    return F.md5(F.concat_ws("|", *(F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in columns)))
+
+
+def read_with_position(spark, path: str, *columns: str) -> DataFrame:
+    """Rows of a Parquet folder and their place in it: by file, then by row."""
+    place = F.struct(F.col("_metadata.file_name"), F.col("_metadata.row_index"))
+    order = W.orderBy(place)
+    return spark.read.parquet(path).select(*columns, F.row_number().over(order).alias("position"))
+
+
 def message_columns(c: Column | str = "dialogue") -> list[Column]:
     """A dialogue as three scalars: size, roles, contents."""
     c = F.col(c) if isinstance(c, str) else c
@@ -380,8 +393,10 @@ def union_all(spark, sf_dir):
 
 @query
 def shuffle(spark, sf_dir):
-    """The shuffled order, as each row's position."""
-    return ranking.hash_rank(A.table(spark, sf_dir, "documents").select("doc_id"), "doc_id", 42, out="position")
+    """Whole documents in shuffled order, as they stand in the written files."""
+    path = scratch_path(spark, "shuffled")
+    mixing.shuffle(A.table(spark, sf_dir, "documents"), "doc_id").write.parquet(path)
+    return read_with_position(spark, path, "doc_id", F.md5("text").alias("digest"))
 
 
 @query
@@ -399,32 +414,42 @@ def corpus_targets(spark, sf_dir) -> dict[str, int]:
 
 @query
 def balance_by_targets(spark, sf_dir):
-    sets = {
-        n: A.SOURCES[n](spark, sf_dir).select(F.concat(F.lit(f"{n}:"), F.col("id").cast("string")).alias("id"))
-        for n in A.SOURCES
+    path = scratch_path(spark, "balanced")
+    mixing.balance_by_targets(_whole_records(spark, sf_dir, A.SOURCES), corpus_targets(spark, sf_dir), "id").write.parquet(path)
+    return read_with_position(spark, path, "id", "source", "digest")
+
+
+def _whole_records(spark, sf_dir, names) -> dict[str, DataFrame]:
+    """Source records as one JSON text each, under keys that are unique over all sources."""
+    return {
+        n: A.SOURCES[n](spark, sf_dir).select(
+            F.concat(F.lit(f"{n}:"), F.col("id").cast("string")).alias("id"), F.to_json(F.struct("*")).alias("record"),
+            F.md5(A.TEXT_OF[n]).alias("digest"),
+        )
+        for n in names
     }
-    return mixing.balance_by_targets(sets, corpus_targets(spark, sf_dir), "id")
 
 
 @query
 def split_keep_ratios(spark, sf_dir):
-    return mixing.split_keep_ratios(A.table(spark, sf_dir, "orders").select("o_orderkey"), key="o_orderkey")
+    split = mixing.split_keep_ratios(A.table(spark, sf_dir, "documents"), key="doc_id")
+    return split.select("doc_id", "split", F.md5("text").alias("digest"))
 
 
 @query
 def split_dataset(spark, sf_dir):
-    return mixing.split_dataset(A.table(spark, sf_dir, "orders").select("o_orderkey"), key="o_orderkey")
+    split = mixing.split_dataset(A.table(spark, sf_dir, "documents"), key="doc_id")
+    return split.select("doc_id", "split", F.md5("text").alias("digest"))
 
 
 @query
 def mix_and_split(spark, sf_dir):
-    parts = [
-        A.SOURCES[n](spark, sf_dir).select(F.concat(F.lit(f"{n}:"), F.col("id").cast("string")).alias("id"))
-        for n in ("alpaca", "sciq")
-    ]
+    parts = list(_whole_records(spark, sf_dir, ("alpaca", "sciq")).values())
     path = scratch_path(spark, "raw")
-    split = mixing.mix_and_split(parts, path, key="id")
-    raw = spark.read.schema("id string").json(path).select(F.col("id"), F.lit(True).alias("in_raw"))
+    split = mixing.mix_and_split(parts, path, key="id").select("id", "split", "digest")
+    # Lines of one file keep their order in the ids that Spark counts up.
+    raw = spark.read.schema("id string").json(path).select("id", F.input_file_name().alias("f"), F.monotonically_increasing_id().alias("i"))
+    raw = raw.select("id", F.row_number().over(W.orderBy("f", "i")).alias("position"))
     return split.join(raw, "id", "left")
 
 
@@ -453,9 +478,10 @@ def perplexity(spark, sf_dir):
         F.when(F.col("user_id") % 10 != 0, F.col("value") / 100).alias("loss"),
         (F.col("event_id") % 7 + 1).alias("n"),
     )
-    weighted = runlog.perplexity(log, ["user_id"], "loss", "n")
-    plain = runlog.perplexity(log, ["user_id"], "loss").withColumnRenamed("perplexity", "plain")
-    return weighted.join(plain, "user_id").select(
+    both = log.groupBy("user_id").agg(
+        runlog.perplexity_of("loss", "n").alias("perplexity"), runlog.perplexity_of("loss").alias("plain")
+    )
+    return both.select(
         "user_id",
         *(F.when(~F.isnan(c), F.round(c, 6)).alias(c) for c in ("perplexity", "plain")),
     )
@@ -473,7 +499,7 @@ def build_prompts_recent(spark, sf_dir):
 
 @query
 def context_prompts(spark, sf_dir):
-    cut = prm.context_prompts(A.table(spark, sf_dir, "conversations"), max_len=128)
+    cut = prm.context_prompts(A.table(spark, sf_dir, "conversations"), max_len=1024)
     return cut.select("conv_id", "turn", "prompt", F.size("tokens").alias("n_tokens"))
 
 
@@ -482,11 +508,21 @@ def best_checkpoint(spark, sf_dir):
     return runlog.best_checkpoint(A.metric_log(spark, sf_dir))
 
 
+@query
+def best_checkpoint_greater(spark, sf_dir):
+    return runlog.best_checkpoint(A.metric_log(spark, sf_dir), metric="learning_rate", greater_is_better=True)
+
+
 @query
 def early_stop_step(spark, sf_dir):
     return runlog.early_stop_step(A.metric_log(spark, sf_dir))
 
 
+@query
+def early_stop_step_greater(spark, sf_dir):
+    return runlog.early_stop_step(A.metric_log(spark, sf_dir), metric="learning_rate", greater_is_better=True)
+
+
 # --- tokens ------------------------------------------------------------------------
 
 
@@ -525,28 +561,37 @@ def tokenize(spark, sf_dir):
 
 @query
 def tokenize_keep(spark, sf_dir):
-    encoded = vocabulary.tokenize_keep(A.dirty_documents(spark, sf_dir), _vocab(spark, sf_dir), max_len=64)
+    encoded = vocabulary.tokenize_keep(A.dirty_documents(spark, sf_dir), _vocab(spark, sf_dir))
     return encoded.select(
         "doc_id", "source", "text", joined(F.col("input_ids")).alias("ids"),
         F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).alias("mask_sum"),
     )
 
 
+@query
+def encode_tokens_joined(spark, sf_dir):
+    """The look-up by join that vocabularies too large to be sent take."""
+    pieces = _documents_text(spark, sf_dir).withColumn("tokens", tokens.pretokenize(F.col("text")))
+    encoded = vocabulary.encode_tokens(pieces, _vocab(spark, sf_dir), max_shipped=100)
+    return encoded.select("doc_id", joined(F.col("input_ids")).alias("ids"))
+
+
 @query
 def truncate_to_context(spark, sf_dir):
-    cut = prm.truncate_to_context(_documents_text(spark, sf_dir), "text", 100)
+    cut = prm.truncate_to_context(_documents_text(spark, sf_dir), "text", 1024)
     return cut.select("doc_id", "text", F.size("tokens").alias("n_tokens"))
 
 
 @query
 def length_grouped_batches(spark, sf_dir):
-    docs = A.table(spark, sf_dir, "documents").select("doc_id", "n_chars")
-    return batching.length_grouped_batches(docs, "doc_id", "n_chars", BATCH).select("doc_id", "batch_id", "batch_pos")
+    docs = A.table(spark, sf_dir, "documents")
+    batches = batching.length_grouped_batches(docs, "doc_id", "n_chars", BATCH)
+    return batches.select("doc_id", "batch_id", "batch_pos", "batch_size_max", F.md5("text").alias("digest"))
 
 
 @query
 def collate(spark, sf_dir):
-    pieces = tokens.truncate_head(tokens.pretokenize(F.concat(F.col("text"), F.lit(EOS))), 40)
+    pieces = tokens.pretokenize(F.concat(F.col("text"), F.lit(EOS)))
     ids = F.transform(pieces, lambda p: F.when(p == EOS, 0).otherwise(F.length(p)))
     docs = _documents_text(spark, sf_dir).select(
         "doc_id", F.floor(F.col("doc_id") / BATCH).alias("batch_id"), ids.alias("input_ids")
@@ -646,7 +691,9 @@ def corpus_sources(spark, sf_dir) -> dict[str, DataFrame]:
 @query
 def prepare_corpus(spark, sf_dir):
     prepared = corpus.prepare_corpus(corpus_sources(spark, sf_dir), corpus_targets(spark, sf_dir))
-    return prepared.select("id", "source", "split", "text")
+    path = scratch_path(spark, "prepared")
+    prepared.select("id", "source", "split", "text").write.parquet(path)
+    return read_with_position(spark, path, "id", "source", "split", "text")
 
 
 @query
@@ -659,22 +706,29 @@ def prepare_corpus_counts(spark, sf_dir):
 def encode_corpus(spark, sf_dir):
     docs = A.dirty_dialogues(spark, sf_dir)
     path = scratch_path(spark, "texts")
-    writers.write_jsonl(dialogues.as_text(docs, "doc_id").withColumn("split", F.lit("train")), path, by_split=True)
+    split = mixing.split_dataset(dialogues.as_text(docs, "doc_id"), 0.1, 0.1, "doc_id")
+    writers.write_jsonl(split, path, by_split=True)
     schema = "doc_id bigint, source string, text string"
-    read = readers.read_jsonl_splits(spark, {"train": f"{path}/split=train"}, schema)
-    batches = encode.encode_corpus(read, _vocab(spark, sf_dir), BATCH, "doc_id", block_size=64)
+    read = readers.read_jsonl_splits(spark, {s: f"{path}/split={s}" for s in ("train", "val", "test")}, schema)
+    batches = encode.encode_corpus(read, _vocab(spark, sf_dir), BATCH, "doc_id", split="split")
     return batches.select(
-        "doc_id", "batch_id", "n_tokens",
+        "doc_id", "split", "batch_id", "n_tokens",
         *(joined(F.col(c)).alias(c) for c in ("input_ids", "attention_mask", "labels")),
     )
 
 
 @query
 def score_prompts(spark, sf_dir):
-    path = scratch_path(spark, "scored")
-    scored = encode.score_prompts(A.dirty_documents(spark, sf_dir), answering("So."), max_len=64)
-    writers.write_samples(scored, path)
-    return spark.read.parquet(path)
+    """Test set from JSON lines, its ids, answers, and samples saved and read again."""
+    source, path = scratch_path(spark, "test"), scratch_path(spark, "scored")
+    writers.write_jsonl(A.dirty_documents(spark, sf_dir), source)
+    test = spark.read.schema("doc_id bigint, source string, text string").json(source)
+    scored = encode.score_prompts(test, answering("So."), vocab=_vocab(spark, sf_dir))
+    # Samples are saved as prompt and generation; the ids ride along in the prompt's row.
+    scored.select("doc_id", joined(F.col("input_ids")).alias("ids"), "prompt", "generation").write.parquet(path)
+    writers.write_samples(scored, f"{path}-samples")
+    saved = spark.read.parquet(f"{path}-samples").groupBy("prompt", "generation").agg(F.count(F.lit(1)).alias("saved"))
+    return spark.read.parquet(path).join(saved, ["prompt", "generation"]).select("doc_id", "ids", "prompt", "generation")
 
 
 __all__: Sequence[str] = ["QUERIES", "answering", "corpus_sources", "corpus_targets"]

@@ -13,7 +13,7 @@ from collections import defaultdict
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType
+from pyspark.sql.types import ArrayType, BooleanType, DataType, DecimalType, FractionalType
 
 from colloquy.constants import CONTROL, CURLY_QUOTES, STRAIGHT_QUOTES, WS, WS_CHARS
 
@@ -22,7 +22,8 @@ from colloquy.constants import CONTROL, CURLY_QUOTES, STRAIGHT_QUOTES, WS, WS_CH
 _MARKUP = (
     r"(?is)<(?:"
     # Content that is never shown.
-    r"!--.*?-->"
+    r"!--.*?(?:-->|\z)"
+    r"|!\[CDATA\[.*?(?:\]\]>|\z)"
     r"|script\b(?:[^>]*[^/>])?>.*?(?:</script\s*>|\z)"
     r"|style\b(?:[^>]*[^/>])?>.*?(?:</style\s*>|\z)"
     r"|template\b(?:[^>]*[^/>])?>.*?(?:</template\s*>|\z)"
@@ -74,12 +75,26 @@ def norm_space(c: Column) -> Column:
 def ensure_text(c: Column, dtype: DataType | None = None) -> Column:
     """Null becomes ''; an array is joined by spaces; anything else is cast.
 
-    Pass ``dtype`` for array columns. A null inside an array prints as 'None'.
+    Pass ``dtype`` for columns that are no strings. A null inside an array prints
+    as 'None' and booleans as 'True' and 'False'. Floating-point numbers are
+    printed only where all engines print them alike, from 0.001 up to below
+    10,000,000; others are an error, to be formatted by the caller.
     """
     if isinstance(dtype, ArrayType):
-        parts = F.transform(c, lambda x: F.coalesce(x.cast("string"), F.lit("None")))
+        parts = F.transform(c, lambda x: F.coalesce(_shown(x, dtype.elementType), F.lit("None")))
         return F.coalesce(F.array_join(parts, " "), F.lit(""))
-    return F.coalesce(c.cast("string"), F.lit(""))
+    return F.coalesce(_shown(c, dtype), F.lit(""))
+
+
+def _shown(c: Column, dtype: DataType | None) -> Column:
+    text = c.cast("string")
+    if isinstance(dtype, BooleanType):
+        return F.initcap(text)
+    if isinstance(dtype, FractionalType) and not isinstance(dtype, DecimalType):
+        size = F.abs(c)
+        plain = c.isNull() | (size == 0) | ((size >= 0.001) & (size < 1e7))
+        return F.when(plain, text).otherwise(F.raise_error(F.concat(F.lit("format this number first: "), text)))
+    return text
 
 
 def strip_control(c: Column) -> Column:
@@ -123,13 +138,13 @@ def decode_entities(c: Column) -> Column:
 def strip_html(c: Column) -> Column:
     """Visible text of an HTML fragment, a space where markup stood.
 
-    White space inside is left for ``collapse_ws``; comments, doctype, script,
-    style and template content are not visible.
+    White space inside is left for ``collapse_ws``; comments, doctype, CDATA sections,
+    script, style and template content are not visible. Left open, they run to the end.
     """
 
     def drop_markup(t: Column) -> Column:
-        # All markup ends in '>': text without one is not searched.
-        return F.when(F.contains(t, F.lit(">")), F.regexp_replace(t, _MARKUP, " ")).otherwise(t)
+        # All markup starts with '<': text without one is not searched.
+        return F.when(F.contains(t, F.lit("<")), F.regexp_replace(t, _MARKUP, " ")).otherwise(t)
 
     return decode_entities(let(c, drop_markup))
 

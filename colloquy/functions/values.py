@@ -71,7 +71,7 @@ def _unwrap_variant(c: Column) -> Column:
 
 def _reject(name: str, wanted: str, c: Column) -> Column:
     shown = F.coalesce(c.cast("string"), F.lit("null"))
-    return F.raise_error(F.concat(F.lit(f"Field '{name}' must be {wanted}, got: "), shown))
+    return F.raise_error(F.concat(F.lit(f"{name}: not a value of type {wanted}: "), shown))
 
 
 def coerce_int(c: Column, name: str, dtype: DataType) -> Column:
@@ -87,10 +87,19 @@ def coerce_int(c: Column, name: str, dtype: DataType) -> Column:
     return F.when(value.isNull(), _reject(name, "int", c).cast("bigint")).otherwise(value)
 
 
+# What Python reads as a float: single underscores between digits, no type suffix, no hex.
+PYTHON_FLOAT = (
+    r"(?i)^[+-]?(?:inf|infinity|nan|(?:[0-9]+(?:_[0-9]+)*\.?(?:[0-9]+(?:_[0-9]+)*)?|\.[0-9]+(?:_[0-9]+)*)"
+    r"(?:e[+-]?[0-9]+(?:_[0-9]+)*)?)$"
+)
+
+
 def coerce_float(c: Column, name: str, dtype: DataType) -> Column:
     """Floating-point number or an error naming the field."""
     if isinstance(dtype, StringType):
-        value = strip_ws(c).try_cast("double")
+        text = strip_ws(c)
+        number = F.when(text.rlike(PYTHON_FLOAT), F.replace(text, F.lit("_"), F.lit("")))
+        value = number.try_cast("double")
     elif isinstance(dtype, BooleanType):
         value = c.cast("int").cast("double")
     elif isinstance(dtype, NumericType):

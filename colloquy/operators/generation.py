@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
@@ -24,22 +24,27 @@ def batch_generate(
     df: DataFrame, loader: Loader, prompt: str = "prompt", out: str = "full", n: int | None = None,
     key: str | None = None,
 ) -> DataFrame:
-    """Add the generator's text for every prompt, or for the first ``n`` by ``key``."""
+    """Add the generator's text for every prompt, or for the first ``n`` by ``key``.
+
+    Only the prompts become Python values; the other columns pass through as they are.
+    """
     if n is not None:
         if key is None:
             raise ValueError("the first n prompts need a key to order by")
         df = df.orderBy(key).limit(n)
     schema = StructType(list(df.schema.fields)).add(out, StringType())
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    at = df.columns.index(prompt)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         generate = loader()
         for batch in batches:
-            texts = list(generate(batch[prompt].tolist()))
-            if len(texts) != len(batch):
-                raise ValueError(f"generator returned {len(texts)} texts for {len(batch)} prompts")
-            yield batch.assign(**{out: texts})
+            texts = list(generate(batch.column(at).to_pylist()))
+            if len(texts) != batch.num_rows:
+                raise ValueError(f"generator returned {len(texts)} texts for {batch.num_rows} prompts")
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=schema.names)
 
-    return df.mapInPandas(run, schema)
+    return df.mapInArrow(run, schema)
 
 
 def generate_answers(

@@ -97,12 +97,12 @@ def cap_sources(
 
 
 def balance_by_targets(
-    dsets: Mapping[str, DataFrame], targets: Mapping[str, int], key: str, seed: int = SEED, shuffled: bool = False
+    dsets: Mapping[str, DataFrame], targets: Mapping[str, int], key: str, seed: int = SEED, shuffled: bool = True
 ) -> DataFrame:
     """Label every corpus with its name, cap each at its target, and mix.
 
-    ``shuffled`` also orders the result randomly, a full sort that a table read
-    back in any order does not need.
+    The result is in random order, which costs a sort of all rows; ``shuffled=False``
+    leaves it out.
     """
     mixed = union_all([add_source(df, name) for name, df in dsets.items()])
     capped = cap_sources(mixed, targets, key, seed)

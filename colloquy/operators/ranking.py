@@ -24,15 +24,16 @@ MAX_BROADCAST_EDGES = 20_000
 
 
 def order_hash(salt: str | int, key: Column) -> Column:
-    """Seeded hash of a key; the same text in any engine that has md5."""
-    return F.md5(F.concat(F.lit(f"{salt}:"), key.cast("string")))
+    """Seeded hash of a key; the same text in any engine that has md5. A null key is an error."""
+    text = F.coalesce(key.cast("string"), F.raise_error(F.lit("a null key has no place in a random order")).cast("string"))
+    return F.md5(F.concat(F.lit(f"{salt}:"), text))
 
 
 def _before(order: str, by: Sequence[str]):
     return W.partitionBy(*by).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
 
 
-def _join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+def join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     """Inner join where null keys meet; ``right`` loses its key columns."""
     renamed = right.withColumnsRenamed({c: f"{c}__r" for c in on})
     matches = [left[c].eqNullSafe(renamed[f"{c}__r"]) for c in on]
@@ -50,7 +51,7 @@ def _rank_in_buckets(df: DataFrame, by: Sequence[str], order: Sequence[str], out
     keys = [*by, "__bucket"]
     offsets = bucket_offsets(df.select(*keys), by, "__bucket")
     inside = F.row_number().over(W.partitionBy(*keys).orderBy(*order))
-    return _join_null_safe(df, offsets, keys).withColumn(out, F.col("__offset") + inside).drop("__bucket", "__offset")
+    return join_null_safe(df, offsets, keys).withColumn(out, F.col("__offset") + inside).drop("__bucket", "__offset")
 
 
 def hash_rank(
@@ -119,7 +120,7 @@ def hash_cutoffs(
     keys = [*groups, "__bucket"]
     inside = W.partitionBy(*keys, "__cut").orderBy("__h", "__k")
     found = (
-        _join_null_safe(hashed, edges, keys)
+        join_null_safe(hashed, edges, keys)
         .withColumn("__rn", F.row_number().over(inside))
         .filter(F.col("__rn") == F.col("__need"))
     )

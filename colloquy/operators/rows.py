@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from typing import Any
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, MapType, StructType
 
 from colloquy.functions.dialogue import has_content
@@ -44,8 +45,9 @@ def filter_nonempty(df: DataFrame, column: str) -> DataFrame:
 
 
 def filter_turn_count(df: DataFrame, n: int = 2, column: str = "dialogue") -> DataFrame:
-    """Keep dialogues of exactly ``n`` messages."""
-    return df.filter(F.size(column) == n)
+    """Keep dialogues of exactly ``n`` messages; ``n_turns`` counts where a dialogue spans rows."""
+    count = F.col("n_turns") if "n_turns" in df.columns else F.size(column)
+    return df.filter(count == n)
 
 
 def filter_has_content(df: DataFrame, column: str = "dialogue") -> DataFrame:
@@ -71,7 +73,8 @@ def map_rows(
 ) -> DataFrame:
     """Apply a Python function to each row and merge the fields it returns.
 
-    ``returns`` declares those fields. ``args`` is passed on: a dict as keyword
+    ``returns`` declares those fields. The function gets plain Python values (None,
+    int, list, dict); columns that it does not return pass through untouched. ``args`` is passed on: a dict as keyword
     arguments, a list or tuple as positional ones, any other value as one
     argument. For what Column expressions can say, use ``df.transform`` instead.
     """
@@ -87,11 +90,13 @@ def map_rows(
     kept = [f for f in df.schema.fields if f.name not in remove_columns and f.name not in new.names]
     out = StructType([*kept, *new.fields])
 
-    def apply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    places = [df.columns.index(f.name) for f in kept]
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types = to_arrow_schema(new).types
         for batch in batches:
-            rows = [
-                {**row, **function(dict(row), *positional, **named)} for row in batch.to_dict("records")
-            ]
-            yield pd.DataFrame(rows, columns=out.names)
+            made = [{**row, **function(dict(row), *positional, **named)} for row in batch.to_pylist()]
+            added = [pa.array([row[n] for row in made], t) for n, t in zip(new.names, types)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in places), *added], names=out.names)
 
-    return df.mapInPandas(apply, out)
+    return df.mapInArrow(apply, out)

@@ -8,6 +8,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -19,8 +20,9 @@ from colloquy.functions.dialogue import dialogue_to_text
 from colloquy.functions.text import strip_ws
 from colloquy.functions.tokens import pretokenize, truncate_head
 from colloquy.operators.rows import filter_nonblank_text
+from colloquy.session import cut_lineage
 
-# A vocabulary up to this many tokens is sent to the workers; a larger one is joined.
+# A vocabulary up to this many tokens is sent to the workers; a larger one is joined, with equal results.
 MAX_SHIPPED_TOKENS = 500_000
 _JOIN_SALTS = 16
 
@@ -78,33 +80,36 @@ def assert_vocab(vocab: DataFrame, expected: int | None = None, name: str = "")
     """Raise when the vocabulary is inconsistent or not of the expected size."""
     row = vocab_check(vocab, expected).first()
     if not row["ok"]:
-        raise ValueError(f"[{name}] vocab mismatch: expected={expected} found={row.asDict()}")
+        raise ValueError(f"vocabulary {name!r} is inconsistent: wanted size {expected}, counted {row.asDict()}")
 
 
 def encode_tokens(
     df: DataFrame, vocab: DataFrame, column: str = "tokens", out: str = "input_ids", unknown: str = EOS,
-    key: str | None = None, max_shipped: int = MAX_SHIPPED_TOKENS,
+    max_shipped: int = MAX_SHIPPED_TOKENS,
 ) -> DataFrame:
     """Replace each token by its id; a token without one gets that of ``unknown``.
 
-    The size of the vocabulary is checked. A normal one is sent to the workers
-    and looked up on Arrow arrays, so rows are not exploded, shuffled or
-    regrouped. A larger one is joined, which needs a unique ``key``.
+    A null array becomes an empty one; a vocabulary without ``unknown`` is an
+    error. The size of the vocabulary decides only how the look-up runs: up to
+    ``max_shipped`` tokens are sent to the workers and looked up on Arrow arrays; more
+    are joined, over row numbers of a written copy of ``df``, with the same result.
     """
-    table = vocab.select("token", F.col("id").cast("int").alias("id")).limit(max_shipped + 1).toArrow()
-    if table.num_rows > max_shipped:
-        return _encode_by_join(df, vocab, column, out, unknown, key)
-    tokens, ids = (table[c].combine_chunks() for c in ("token", "id"))
-    at = pc.index(tokens, unknown).as_py()
-    if at < 0:
+    table = vocab.select("token", F.col("id").cast("int").alias("id"))
+    found = table.filter(F.col("token") == unknown).first()
+    if found is None:
         raise ValueError(f"the vocabulary lacks its unknown token {unknown!r}")
-    shipped = df.sparkSession.sparkContext.broadcast((tokens, ids, ids[at].as_py()))
+    shipped_table = table.limit(max_shipped + 1).toArrow()
+    if shipped_table.num_rows > max_shipped:
+        return _encode_by_join(df, table, column, out, found["id"])
+    # The index builds its hash table once per worker process.
+    index = pd.Index(shipped_table["token"].to_numpy())
+    shipped = df.sparkSession.sparkContext.broadcast((index, shipped_table["id"].to_numpy(), found["id"]))
 
     @F.arrow_udf("array<int>")
     def look_up(batch: pa.Array) -> pa.Array:
-        known, known_ids, unknown_id = shipped.value
-        found = pc.index_in(batch.flatten(), value_set=known)
-        values = pc.fill_null(known_ids.take(found), unknown_id)
+        known, ids, unknown_id = shipped.value
+        at = known.get_indexer(batch.flatten().to_numpy(zero_copy_only=False))
+        values = pa.array(np.where(at >= 0, ids[at], unknown_id).astype("int32"))
         sizes = pc.fill_null(pc.list_value_length(batch), 0).to_numpy(zero_copy_only=False)
         offsets = np.concatenate([[0], np.cumsum(sizes)]).astype("int32")
         return pa.ListArray.from_arrays(pa.array(offsets), values)
@@ -112,25 +117,21 @@ def encode_tokens(
     return df.withColumn(out, look_up(column))
 
 
-def _encode_by_join(
-    df: DataFrame, vocab: DataFrame, column: str, out: str, unknown: str, key: str | None
-) -> DataFrame:
-    if key is None:
-        raise ValueError("a vocabulary of this size is joined, which needs a unique key column")
+def _encode_by_join(df: DataFrame, table: DataFrame, column: str, out: str, unknown_id: int) -> DataFrame:
+    numbered = cut_lineage(df.withColumn("__row", F.monotonically_increasing_id()))
     salts = F.explode(F.sequence(F.lit(0), F.lit(_JOIN_SALTS - 1))).alias("__salt")
-    words = vocab.select(F.col("token").alias("__token"), F.col("id").cast("int").alias("__id"), salts)
-    unknown_id = vocab.filter(F.col("token") == unknown).agg(F.max("id").cast("int")).scalar()
-    places = df.select(key, F.posexplode_outer(column).alias("__pos", "__token")).withColumn(
+    words = table.select(F.col("token").alias("__token"), F.col("id").alias("__id"), salts)
+    places = numbered.select("__row", F.posexplode_outer(column).alias("__pos", "__token")).withColumn(
         "__salt", F.pmod(F.col("__pos"), F.lit(_JOIN_SALTS))
     )
-    found = places.join(words, ["__token", "__salt"], "left").withColumn("__id", F.coalesce("__id", unknown_id))
+    found = places.join(words, ["__token", "__salt"], "left").withColumn("__id", F.coalesce("__id", F.lit(unknown_id)))
     pairs = F.array_sort(F.collect_list(F.when(F.col("__pos").isNotNull(), F.struct("__pos", "__id"))))
-    rows = found.groupBy(key).agg(F.transform(pairs, lambda p: p["__id"]).alias(out))
-    return df.join(rows, key)
+    rows = found.groupBy("__row").agg(F.transform(pairs, lambda p: p["__id"]).alias(out))
+    return numbered.join(rows, "__row").drop("__row")
 
 
 def tokenize(
-    df: DataFrame, vocab: DataFrame, block_size: int = BLOCK_SIZE, keep: Sequence[str] = (), key: str | None = None
+    df: DataFrame, vocab: DataFrame, block_size: int = BLOCK_SIZE, keep: Sequence[str] = ()
 ) -> DataFrame:
     """``input_ids`` and ``attention_mask`` of each row's text, nothing else.
 
@@ -138,26 +139,24 @@ def tokenize(
     Text is stripped, blank rows go, and the first ``block_size`` tokens stay.
     """
     text = dialogue_to_text(F.col("dialogue")) if "dialogue" in df.columns else F.col("text")
-    others = [c for c in dict.fromkeys([*keep, *([key] if key else [])]) if c != "text"]
+    others = [c for c in dict.fromkeys(keep) if c != "text"]
     rows = df.select(*others, strip_ws(F.coalesce(text, F.lit(""))).alias("text")).filter(F.col("text") != "")
-    encoded = _encode_text(rows, vocab, block_size, key)
+    encoded = _encode_text(rows, vocab, block_size)
     return encoded.select(*others, "input_ids", "attention_mask")
 
 
-def tokenize_keep(
-    df: DataFrame, vocab: DataFrame, max_len: int = BLOCK_SIZE, key: str | None = None
-) -> DataFrame:
+def tokenize_keep(df: DataFrame, vocab: DataFrame, max_len: int = BLOCK_SIZE) -> DataFrame:
     """Add ``input_ids`` and ``attention_mask``; every other column stays.
 
     Blank texts go; the text itself is tokenized as it is, without stripping.
     """
-    encoded = _encode_text(filter_nonblank_text(df), vocab, max_len, key)
+    encoded = _encode_text(filter_nonblank_text(df), vocab, max_len)
     return encoded.select(*df.columns, "input_ids", "attention_mask")
 
 
-def _encode_text(rows: DataFrame, vocab: DataFrame, block_size: int, key: str | None) -> DataFrame:
+def _encode_text(rows: DataFrame, vocab: DataFrame, block_size: int) -> DataFrame:
     # Rows without text are gone, and any other text has a token, so no filter on
     # the ids is needed: counting the rows does not tokenize them.
     pieces = rows.withColumn("__tokens", truncate_head(pretokenize(F.col("text")), block_size))
-    encoded = encode_tokens(pieces, vocab, "__tokens", key=key).drop("__tokens")
+    encoded = encode_tokens(pieces, vocab, "__tokens").drop("__tokens")
     return encoded.withColumn("attention_mask", F.transform("input_ids", lambda _: F.lit(1)))

@@ -14,6 +14,7 @@ from colloquy.operators.mixing import (
     apply_split,
     cap_one_source,
     held_out_shares,
+    shuffle,
     source_cutoffs,
     split_limits,
     union_all,
@@ -61,9 +62,9 @@ def two_message_dialogues(
 
 def prepare_corpus(
     sources: Mapping[str, DataFrame], targets: Mapping[str, int] | None = None, val: float = 0.02,
-    test: float = 0.02, seed: int = SEED, key: str = "id",
+    test: float = 0.02, seed: int = SEED, key: str = "id", shuffled: bool = True,
 ) -> DataFrame:
-    """Convert, reject, balance, split, clean and render, in this order.
+    """Convert, reject, balance, split, clean, render and shuffle.
 
     Balancing and splitting come before cleaning, so the split sizes are those
     of the uncleaned mixture. The ``(source, key)`` pairs are written to the
@@ -71,7 +72,12 @@ def prepare_corpus(
     are computed from them. The texts then go from scan to result in one pass
     without a shuffle, and records above their source's cut-off are dropped
     before they are converted. A cut-off is a record that was not rejected, so
-    dropping first keeps the same dialogues.
+    dropping first keeps the same dialogues. At the end the rendered rows are
+    sorted into the random order of the mixture, unless ``shuffled`` is false.
+
+    Records of sources that may be rejected are converted twice, once for their
+    keys and once for the result; carrying the dialogues instead would write all of
+    them, kept or not.
     """
     targets = default_targets() if targets is None else targets
     index = cut_lineage(two_message_dialogues(sources, key).select("source", key))
@@ -82,7 +88,8 @@ def prepare_corpus(
         sources, key, lambda df, name: cap_one_source(df, name, caps, targets, key, seed)
     )
     cleaned = filter_nonempty(clean_corpus(apply_split(balanced, limits, key, seed)), "dialogue")
-    return as_text(cleaned, "split", key)
+    texts = as_text(cleaned, "split", key)
+    return shuffle(texts, key, f"{seed}:mix") if shuffled else texts
 
 
 def write_corpus(df: DataFrame, path: str) -> tuple[str, DataFrame]:

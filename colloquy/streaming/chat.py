@@ -9,13 +9,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from colloquy.constants import ASSISTANT, CONTEXT_SIZE, SESSION_END_WORDS, USER
+from colloquy.operators.prompts import truncate_to_context
 
 OUTPUT = "conv_id long, turn long, prompt string, late boolean"
 _STATE = "lines array<string>, last_turn long"
 
 
 def stream_prompts(
-    turns: DataFrame, max_lines: int = CONTEXT_SIZE, idle_ms: int | None = None
+    turns: DataFrame, max_len: int = CONTEXT_SIZE, idle_ms: int | None = None
 ) -> DataFrame:
     """A prompt for each user turn of a stream ``(conv_id, turn, role, text)``.
 
@@ -25,8 +26,9 @@ def stream_prompts(
     conversation idle for ``idle_ms`` is forgotten; that takes a query that keeps
     running, since timeouts schedule further batches without end.
 
-    State holds the last ``max_lines`` lines. A line has at least one token, so
-    ``max_lines`` equal to the context size loses nothing that fits the context.
+    Prompts are cut to their last ``max_len`` tokens, as ``context_prompts`` does in
+    batch. A line has at least one token, so the ``max_len`` lines that the state keeps
+    hold all that can be in a prompt. Leaving drops the state.
     """
 
     def advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -43,7 +45,7 @@ def stream_prompts(
             if role == "user":
                 text = text.strip()
                 if text.lower() in SESSION_END_WORDS:
-                    lines = []
+                    lines, last = [], -1
                     continue
                 if not text:
                     continue
@@ -51,13 +53,15 @@ def stream_prompts(
                 out.append((int(key[0]), turn, "\n".join([*lines, ASSISTANT + " "]), late))
             else:
                 lines.append(f"{ASSISTANT} {text}")
-            lines = lines[-max_lines:]
-        state.update((lines, last))
-        if idle_ms is not None:
-            state.setTimeoutDuration(idle_ms)
+            lines = lines[-max_len:]
+        if lines or last >= 0:
+            state.update((lines, last))
+            if idle_ms is not None:
+                state.setTimeoutDuration(idle_ms)
+        elif state.exists:
+            state.remove()
         yield pd.DataFrame(out, columns=["conv_id", "turn", "prompt", "late"])
 
     timeout = GroupStateTimeout.NoTimeout if idle_ms is None else GroupStateTimeout.ProcessingTimeTimeout
-    return turns.groupBy("conv_id").applyInPandasWithState(
-        advance, OUTPUT, _STATE, "append", timeout
-    )
+    prompts = turns.groupBy("conv_id").applyInPandasWithState(advance, OUTPUT, _STATE, "append", timeout)
+    return truncate_to_context(prompts, "prompt", max_len).drop("tokens")
