@@ -184,7 +184,8 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
         return fingerprints(both, texts, ["doc_id", "n_chars", "edited_sha256"])
 
     unnamed = rows.filter(F.col("doc_id").isNull()).withColumn("head", F.lit(""))
-    prints = stored(printed(joined).union(printed(unnamed)), "prints")
+    # Written apart: inside one union the planner would not share the shuffle.
+    prints = stored(printed(joined), "prints").union(stored(printed(unnamed), "unnamed"))
     following = prints.groupBy("doc_id").agg(F.min("fingerprint").alias("next_fingerprint"))
     following = ring.select("doc_id", "next_id").join(following.withColumnRenamed("doc_id", "next_id"), "next_id")
     joined = prints.join(following.select("doc_id", "next_fingerprint"), "doc_id", "left")
