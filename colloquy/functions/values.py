@@ -99,7 +99,8 @@ def coerce_float(c: Column, name: str, dtype: DataType) -> Column:
     if isinstance(dtype, StringType):
         text = strip_ws(c)
         number = F.when(text.rlike(PYTHON_FLOAT), F.replace(text, F.lit("_"), F.lit("")))
-        value = number.try_cast("double")
+        nan = text.rlike(r"(?i)^[+-]?nan$")
+        value = F.when(nan, F.lit(float("nan"))).otherwise(number.try_cast("double"))
     elif isinstance(dtype, BooleanType):
         value = c.cast("int").cast("double")
     elif isinstance(dtype, NumericType):

@@ -17,15 +17,15 @@ _CHUNK = 4096
 
 
 def few_shot_prompt(
-    df: DataFrame, by: Sequence[str] = (), order: str = "id", dialogue: str = "dialogue", shots: int | None = None
+    df: DataFrame, by: Sequence[str], order: str, shots: int | None, dialogue: str = "dialogue"
 ) -> DataFrame:
     """Question/answer records in order, ready for one more answer.
 
     The first two messages of each dialogue are used; the question is stripped,
     the answer is not. With ``shots``, each group gives consecutive prompts
     (numbered by ``block``) of that many records: every record is used once and
-    no prompt grows with the table. Without it the group is one prompt, for
-    groups known to fit a prompt. ``order`` is an integer, unique in its group.
+    no prompt grows with the table. ``shots=None`` makes each group one prompt, for
+    groups known to fit one. ``order`` is an integer, unique in its group.
     """
     first, second = F.get(F.col(dialogue), F.lit(0)), F.get(F.col(dialogue), F.lit(1))
     record = F.concat(

@@ -3,7 +3,7 @@
 Two orders are served. *Hash order* is a seeded permutation: rows sort by
 ``md5(salt:key)``, so the first hex digits of the hash cut every group, however
 large, into even buckets. *Ordinal order* follows an integer column such as a
-turn or step number; fixed-width ranges of that column are the buckets.
+turn or step number; ranges of that column with even numbers of rows are the buckets.
 
 In both, counts per bucket are pre-aggregated, a running sum over the small
 bucket table gives each bucket's offset, and only the rows inside one bucket are
@@ -64,14 +64,20 @@ def hash_rank(
 
 
 def ordinal_rank(
-    df: DataFrame, order: str, by: Sequence[str] = (), out: str = "rank", width: int = 4096
+    df: DataFrame, order: str, by: Sequence[str] = (), out: str = "rank", ranges: int = 256
 ) -> DataFrame:
-    """Add the 1-based rank along an integer column, per group.
+    """Add the 1-based rank along a numeric column, per group.
 
-    ``order`` is unique within a group, so no bucket holds more than ``width`` rows.
+    ``order`` is unique within a group. The buckets are ``ranges`` ranges of it that hold
+    about as many rows each, whatever its values: their bounds are approximate
+    quantiles, computed once per query. So a group that holds most of the table is
+    sorted in as many parts, time stamps and dense counters alike.
     """
-    bucketed = df.withColumn("__bucket", F.floor(F.col(order) / width))
-    return _rank_in_buckets(bucketed, by, [order], out)
+    shares = [i / ranges for i in range(1, ranges)]
+    bounds = df.agg(F.percentile_approx(order, shares, 100 * ranges)).scalar()
+    known = F.coalesce("__bounds", F.array().cast("array<double>"))
+    bucketed = df.withColumn("__bounds", bounds).withColumn("__bucket", F.size(F.filter(known, lambda b: b < F.col(order))))
+    return _rank_in_buckets(bucketed.drop("__bounds"), by, [order], out)
 
 
 def hash_cutoffs(

@@ -2,16 +2,24 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def local_session(cores: int | str = 8, app: str = "colloquy") -> SparkSession:
-    """A session for tests and benchmarks on one machine."""
+def local_session(cores: int | str = 8, app: str = "colloquy", checkpoint_dir: str | None = None) -> SparkSession:
+    """A session for tests and benchmarks on one machine.
+
+    ``checkpoint_dir`` becomes ``spark.checkpoint.dir``; without it the first lineage cut
+    makes a temporary folder, which only a local session may do.
+    """
+    builder = SparkSession.builder if checkpoint_dir is None else SparkSession.builder.config(
+        "spark.checkpoint.dir", checkpoint_dir
+    )
     return (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
@@ -29,7 +37,7 @@ def _ensure_checkpoint_dir(spark: SparkSession) -> None:
         return
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
         folder = tempfile.mkdtemp(prefix="colloquy-checkpoint-")
     context.setCheckpointDir(folder)

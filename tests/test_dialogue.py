@@ -67,7 +67,7 @@ def test_nq_layouts(spark, listed):
 
 def test_few_shot_prompt_of_one_record(spark):
     df = spark.createDataFrame([(0, [("user", "Hello"), ("assistant", "Hi")])], f"id bigint, dialogue {DIALOGUE}")
-    assert prompts.few_shot_prompt(df).first()["prompt"] == "\n<|user|>: Hello\n<|assistant|>: Hi\n<|assistant|>: "
+    assert prompts.few_shot_prompt(df, [], "id", None).first()["prompt"] == "\n<|user|>: Hello\n<|assistant|>: Hi\n<|assistant|>: "
 
 
 def test_few_shot_blocks_use_every_record_once(spark):
@@ -86,10 +86,25 @@ def test_build_dialogue_continues_long_conversations(spark):
     turns = spark.range(0, 25).select(
         F.lit(7).alias("conv_id"), F.col("id").alias("turn"), F.lit("user").alias("role"), F.col("id").cast("string").alias("text")
     )
-    got = dialogues.build_dialogue(turns, segment_turns=10).orderBy("segment").collect()
+    parts = dialogues.build_dialogue(turns, segment_turns=10).withColumn("source", F.lit("s"))
+    got = parts.orderBy("segment").collect()
     assert [[m["content"] for m in r["dialogue"]] for r in got] == [
         [str(i) for i in range(a, b)] for a, b in ((0, 10), (10, 20), (20, 25))
     ]
+    assert [(r["n_turns"], r["is_last"]) for r in got] == [(25, False), (25, False), (25, True)]
+    assert rows.filter_turn_count(parts, 25).count() == 3 and rows.filter_turn_count(parts, 5).count() == 0
+    whole = dialogues.as_text(dialogues.build_dialogue(turns)).first()["text"]
+    pieces = dialogues.as_text(parts, "segment").orderBy("segment").collect()
+    assert "".join(r["text"] for r in pieces) == whole
+
+
+def test_turn_numbers_do_not_cut_a_conversation(spark):
+    for start in (4094, 1_700_000_000_000):
+        turns = spark.range(start, start + 4).select(
+            F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.lit("user").alias("role"), F.lit("x").alias("text")
+        )
+        got = dialogues.build_dialogue(turns)
+        assert [len(r["dialogue"]) for r in got.collect()] == [4] and rows.filter_turn_count(got).count() == 0
 
 
 def full_prompts(turns, keep=None):

@@ -79,13 +79,16 @@ def test_rejected_records_do_not_count_towards_a_cap(spark):
         corpus.prepare_corpus({"other": nq["natural-questions"]}, {})
 
 
-def test_final_pass_of_prepare_corpus_shuffles_no_text(spark):
+def test_final_pass_of_prepare_corpus_only_sorts(spark):
     from colloquy.catalog.queries import corpus_sources, corpus_targets
 
     sources = corpus_sources(spark, SF_DIR)
     sources.pop("dolly")  # its test adapter joins
-    plan = corpus.prepare_corpus(sources, corpus_targets(spark, SF_DIR))._jdf.queryExecution().executedPlan().toString()
-    assert not [x for x in plan.splitlines() if "Exchange" in x and "BroadcastExchange" not in x]
+    for shuffled in (False, True):
+        df = corpus.prepare_corpus(sources, corpus_targets(spark, SF_DIR), shuffled=shuffled)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        moved = [x for x in plan.splitlines() if "Exchange" in x and "BroadcastExchange" not in x]
+        assert len(moved) == shuffled and all("rangepartitioning" in x for x in moved)
 
 
 def test_stream_clean_equals_batch(spark, tmp_path):
@@ -143,6 +146,11 @@ def test_stream_prompts_equals_batch_prompts(spark, tmp_path):
     assert {k: p for k, (p, _) in got.items()} == want
 
 
-def test_stream_state_is_bounded(spark, tmp_path):
-    got = run_chat(spark, tmp_path, [[(1, t, "user", str(t)) for t in range(10)]], max_lines=2)
-    assert got[(1, 9)][0] == "<|user|> 7\n<|user|> 8\n<|user|> 9\n<|assistant|> "
+@pytest.mark.parametrize("parts", [1, 3])
+def test_stream_prompts_equal_batch_prompts(spark, tmp_path, parts):
+    turns = [(1, t, "user" if t % 2 == 0 else "assistant", f"m{t} is long") for t in range(300)]
+    size = len(turns) // parts
+    got = run_chat(spark, tmp_path, [turns[i : i + size] for i in range(0, len(turns), size)], max_len=50)
+    df = spark.createDataFrame(turns, "conv_id int, turn int, role string, text string")
+    want = {(r["conv_id"], r["turn"]): r["prompt"] for r in prompts.context_prompts(df, 50).collect()}
+    assert {k: v[0] for k, v in got.items()} == want

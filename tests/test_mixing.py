@@ -26,9 +26,9 @@ def test_hash_rank(skewed, digits):
     assert all(sorted(v) == list(range(1, len(v) + 1)) for v in groups.values()) and len(got) == 3000
 
 
-@pytest.mark.parametrize("width", [1, 16, 100_000])
-def test_ordinal_rank(skewed, width):
-    got = ranking.ordinal_rank(skewed, "id", ["g"], width=width).orderBy("g", "id").collect()
+@pytest.mark.parametrize("ranges", [2, 16, 300])
+def test_ordinal_rank(skewed, ranges):
+    got = ranking.ordinal_rank(skewed, "id", ["g"], ranges=ranges).orderBy("g", "id").collect()
     seen = {}
     for r in got:
         seen[r["g"]] = seen.get(r["g"], 0) + 1
@@ -143,16 +143,41 @@ def test_early_stop_step(spark, width):
     runs[13] = [(s, 1) for s in range(2)]
     rows = [(r, s, float(v)) for r, log in runs.items() for s, v in log]
     df = spark.createDataFrame(rows, "run_id int, step int, value double")
-    got = {r["run_id"]: r["stop_step"] for r in runlog.early_stop_step(df, width=width).collect()}
+    got = {r["run_id"]: r["stop_step"] for r in runlog.early_stop_step(df, width=width, metric=None).collect()}
     want = {r: stops(log, 3) for r, log in runs.items()}
     assert got == {r: s for r, s in want.items() if s is not None}
 
 
 def test_run_summaries(spark):
     df = spark.createDataFrame([(1, 10, 2.0), (1, 20, 1.0), (1, 30, 1.0), (2, 5, None)], "run_id int, step int, value double")
-    assert [tuple(r) for r in runlog.best_checkpoint(df).collect()] == [(1, 20, 1.0)]
+    assert [tuple(r) for r in runlog.best_checkpoint(df, metric=None).collect()] == [(1, 20, 1.0)]
+    both = df.withColumn("metric", F.lit("eval_loss")).union(df.select("run_id", "step", -F.col("value"), F.lit("lr")))
+    assert [tuple(r) for r in runlog.best_checkpoint(both).collect()] == [(1, 20, 1.0)]
+    assert [tuple(r) for r in runlog.best_checkpoint(both, metric="lr", greater_is_better=True).collect()] == [(1, 20, -1.0)]
     loss = spark.createDataFrame([(1, 1.0, 3), (1, 2.0, 1), (2, None, 4)], "run_id int, loss double, n int")
     got = {r["run_id"]: r["perplexity"] for r in runlog.perplexity(loss, ["run_id"], weight="n").collect()}
     assert got[1] == pytest.approx(math.exp(1.25)) and math.isnan(got[2])
     plain = {r["run_id"]: r["perplexity"] for r in runlog.perplexity(loss, ["run_id"]).collect()}
     assert plain[1] == pytest.approx(math.exp(1.5)) and math.isnan(plain[2])
+
+
+def test_sparse_orders_are_cut_evenly(spark):
+    """Time stamps of one hot group: no window holds more than a few ranges' share."""
+    df = spark.range(20_000).select(
+        F.when(F.col("id") % 10 < 7, "hot").otherwise("cold").alias("g"),
+        (F.lit(1_700_000_000_000) + F.col("id") * F.col("id") * 1000).alias("at"),
+    )
+    ranked = ranking.ordinal_rank(df, "at", ["g"], ranges=64).orderBy("g", "at").collect()
+    for group in ("hot", "cold"):
+        own = [r["rank"] for r in ranked if r["g"] == group]
+        assert own == list(range(1, len(own) + 1))
+    shares = [i / 64 for i in range(1, 64)]
+    bounds = df.agg(F.percentile_approx("at", shares, 6400)).first()[0]
+    largest = df.groupBy(F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b < F.col("at")))).count()
+    assert max(r["count"] for r in largest.collect()) < 2 * 20_000 / 64
+
+
+def test_null_keys_are_an_error(spark):
+    df = spark.createDataFrame([(1,), (None,)], "id int")
+    with pytest.raises(Exception, match="null key"):
+        mixing.take_n(df, 1, "id").collect()

@@ -155,3 +155,36 @@ def test_coercion_names_the_field(apply, coerce, value):
 def test_coercion_rejects_column_types():
     with pytest.raises(TypeError, match="fp16"):
         V.coerce_bool(F.col("v"), "fp16", IntegerType())
+
+
+@pytest.mark.parametrize(
+    "value", ["1", " 2.5 ", "1_000", "1_0.5_0e1_0", "-.5", "5.", "+inf", "Infinity", "-nan", "1e-3", "1d", "2.5F", "0x1p3", "1__0", "_1", "1_", "", ".", "e5", "1e"]
+)
+def test_float_text_reads_as_in_python(spark, value):
+    df = spark.createDataFrame([(value,)], "v string").select(V.coerce_float(F.col("v"), "v", StringType()).alias("x"))
+    try:
+        want = float(value)
+    except ValueError:
+        with pytest.raises(Exception, match="not a value of type float"):
+            df.collect()
+    else:
+        got = df.first()["x"]
+        assert got == want or (got != got and want != want)
+
+
+def test_text_of_booleans_and_floats(spark):
+    row = spark.range(1).select(
+        T.ensure_text(F.lit(True), BooleanType()).alias("b"), T.ensure_text(F.lit(1.5), DoubleType()).alias("d"),
+        T.ensure_text(F.array(F.lit(False), F.lit(None)), ArrayType(BooleanType())).alias("a"),
+        T.ensure_text(F.lit(None).cast("boolean"), BooleanType()).alias("n"),
+    ).first()
+    assert tuple(row) == ("True", "1.5", "False None", "")
+    with pytest.raises(Exception, match="format this number"):
+        spark.range(1).select(T.ensure_text(F.lit(1e16), DoubleType())).collect()
+
+
+@pytest.mark.parametrize(
+    "html, want", [("a<![CDATA[b]]>c", "a c"), ("a<![CDATA[b", "a "), ("a<!-- b", "a "), ("a < b", "a < b"), ("a<!-- b --> c", "a  c")]
+)
+def test_cdata_and_open_comments(apply, html, want):
+    assert apply(T.strip_html, [html]) == [want]

@@ -39,7 +39,7 @@ def test_build_vocab(vocab):
 def test_vocab_check(spark, vocab):
     assert vocabulary.vocab_check(vocab, 7).first()["ok"]
     vocabulary.assert_vocab(vocab, 7)
-    with pytest.raises(ValueError, match="base.*mismatch"):
+    with pytest.raises(ValueError, match="base.*inconsistent"):
         vocabulary.assert_vocab(vocab, 8, "base")
     broken = spark.createDataFrame([("a", 0), ("a", 1)], "token string, id int")
     assert not vocabulary.vocab_check(broken).first()["ok"]
@@ -49,15 +49,60 @@ def test_vocab_check(spark, vocab):
 def test_shipped_and_joined_vocabularies_agree(texts, vocab, block):
     pieces = texts.withColumn("tokens", T.truncate_head(T.pretokenize(F.coalesce("text", F.lit(""))), block))
     shipped = vocabulary.encode_tokens(pieces, vocab).select("id", "input_ids")
-    joined = vocabulary.encode_tokens(pieces, vocab, key="id", max_shipped=2).select("id", "input_ids")
+    joined = vocabulary.encode_tokens(pieces, vocab, max_shipped=2).select("id", "input_ids")
     as_rows = lambda df: sorted((r["id"], r["input_ids"]) for r in df.collect())
     assert as_rows(shipped) == as_rows(joined) and len(as_rows(shipped)) == 6
 
 
-def test_large_vocabulary_needs_a_key(texts, vocab):
-    pieces = texts.withColumn("tokens", T.pretokenize(F.col("text")))
-    with pytest.raises(ValueError, match="unique key"):
-        vocabulary.encode_tokens(pieces, vocab, max_shipped=2)
+@pytest.mark.parametrize("max_shipped", [2, 1000])
+def test_look_up_is_the_same_at_every_size(spark, vocab, max_shipped):
+    rows = [(1, ["the", "zzz"]), (1, ["the"]), (None, []), (None, None), (2, ["<|endoftext|>", " cat"])]
+    df = spark.createDataFrame(rows, "id int, tokens array<string>")
+    ids = {r["token"]: r["id"] for r in vocab.collect()}
+    unknown = ids["<|endoftext|>"]
+    got = vocabulary.encode_tokens(df, vocab, max_shipped=max_shipped).select("id", "input_ids").collect()
+    want = [(i, [ids.get(t, unknown) for t in t_ or []]) for i, t_ in rows]
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+    lacking = vocab.filter(F.col("token") != "<|endoftext|>")
+    with pytest.raises(ValueError, match="lacks its unknown token"):
+        vocabulary.encode_tokens(df, lacking, max_shipped=max_shipped)
+
+
+def test_values_pass_through_generators_and_row_functions(spark):
+    big = 2**53 + 1
+    schema = "id bigint, prompt string, many array<bigint>, pair struct<a:bigint,b:string>, price decimal(20,2), at timestamp"
+    import datetime
+    import decimal
+
+    at = datetime.datetime(2020, 1, 2, 3, 4, 5, 678901)
+    data = [(big, "p", [big, None], (big, "x"), decimal.Decimal("1.10"), at), (None, "q", None, None, None, None)]
+    df = spark.createDataFrame(data, schema).coalesce(1)
+    asked = generation.batch_generate(df, echo).drop("full").orderBy("prompt").collect()
+    def look(row):
+        kinds = {k: type(v).__name__ for k, v in row.items()}
+        return {"kinds": ",".join(kinds[c] for c in ("id", "many", "pair")), "next": None if row["id"] is None else row["id"] + 2}
+
+    mapped = rows.map_rows(df, look, "kinds string, next bigint").orderBy("prompt").collect()
+    for got in (asked, mapped):
+        assert [r["id"] for r in got] == [big, None] and got[0]["many"] == [big, None] and got[0]["pair"]["a"] == big
+        assert got[0]["price"] == decimal.Decimal("1.10") and got[0]["at"] == at and got[1]["pair"] is None
+    assert [r["kinds"] for r in mapped] == ["int,list,dict", "NoneType,NoneType,NoneType"] and mapped[0]["next"] == big + 2
+
+
+def test_batches_keep_splits_apart_and_move_the_arrays_once(spark, vocab):
+    docs = spark.range(200).select(
+        "id", F.repeat(F.lit("the cat "), (F.col("id") % 9 + 1).cast("int")).alias("text"),
+        F.when(F.col("id") % 5 == 0, "val").otherwise("train").alias("split"),
+    )
+    got = encode.encode_corpus(docs, vocab, 4, "id", split="split")
+    batches = {}
+    for r in got.collect():
+        batches.setdefault((r["split"], r["batch_id"]), []).append(len(r["input_ids"]))
+    assert all(len(set(sizes)) == 1 and len(sizes) <= 4 for sizes in batches.values())
+    assert sum(map(len, batches.values())) == 200
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.split("\n") if "Exchange" in line]
+    assert plan.count("Python") == 0 and len(moved) > 0
 
 
 def test_tokenize(texts, vocab):
