@@ -5,7 +5,7 @@ import pytest
 from colloquy.llm import quality
 from colloquy.llm.common import table
 
-SF = "/root/testdata/sf0.01"
+SF = "/root/testdata/sf0.1"
 
 
 def test_held_out_accuracy(spark):
