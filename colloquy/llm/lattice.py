@@ -16,6 +16,7 @@ from colloquy.llm.common import stored
 FOLDS, HELD_OUT = 7, 2
 ROUNDS = 2  # re-estimations of the piece probabilities from the corpus
 SMOOTH = 0.1  # added to the expected count of every piece
+PLAIN = 40  # letters of a word that are summed in plain probabilities
 FLUSH = 200_000  # distinct words that a task counts before it passes them on
 FREQUENT = 200_000  # most frequent words that are sent to the scoring tasks
 BINS = 8  # frequency bins per factor of two
@@ -37,6 +38,7 @@ class Pieces:
 
     def __init__(self, log_p: dict[str, float]):
         self.log_p = log_p
+        self.p = {piece: math.exp(p) for piece, p in log_p.items()}
         self.longest = max((len(p) for p in log_p if not p.startswith("<0x")), default=1)
 
     @classmethod
@@ -65,24 +67,6 @@ class Pieces:
     def _spelled(self, letter: str) -> list[str]:
         return [f"<0x{b:02X}>" for b in letter.encode("utf-8", "surrogatepass")]
 
-    def arcs(self, word: str) -> list[list[tuple[int, str, float]]]:
-        """For every end position the arcs into it: (start, piece, log probability)."""
-        text = WORD_START + word
-        get, longest = self.log_p.get, self.longest
-        out: list[list[tuple[int, str, float]]] = [[]]
-        for end in range(1, len(text) + 1):
-            into = []
-            for start in range(max(0, end - longest), end):
-                piece = text[start:end]
-                p = get(piece)
-                if p is not None:
-                    into.append((start, piece, p))
-            if text[end - 1] not in self.log_p:
-                spelled = self._spelled(text[end - 1])
-                into.append((end - 1, "", sum(self.log_p[b] for b in spelled)))
-            out.append(into)
-        return out
-
     def log_probability(self, word: str) -> float:
         """Log of the summed probability of all segmentations (forward recursion)."""
         text, get, longest = WORD_START + word, self.log_p.get, self.longest
@@ -101,27 +85,41 @@ class Pieces:
         return alpha[-1]
 
     def expected(self, word: str, times: float, into: dict[str, float]) -> None:
-        """Add ``times`` the expected number of uses of every piece in ``word``."""
-        arcs = self.arcs(word)
-        exp, log, text = math.exp, math.log, WORD_START + word
+        """Add ``times`` the expected number of uses of every piece in ``word``.
 
-        def summed(terms: list[float]) -> float:
-            top = max(terms)
-            return top + log(sum([exp(t - top) for t in terms])) if len(terms) > 1 else top
-
-        alpha = [0.0]
-        for end in range(1, len(arcs)):
-            alpha.append(summed([alpha[s] + p for s, _, p in arcs[end]]))
-        after: list[list[float]] = [[] for _ in arcs]
-        after[-1] = [0.0]
-        for end in range(len(arcs) - 1, 0, -1):
-            if not after[end]:
-                continue
-            beta = summed(after[end])
-            for start, piece, p in arcs[end]:
-                after[start].append(beta + p)
-                share = times * exp(alpha[start] + p + beta - alpha[-1])
-                for used in [piece] if piece else self._spelled(text[end - 1]):
+        Forward and backward sums of plain probabilities; words too long for floating
+        point go in parts that overlap in nothing, which only learning can bear.
+        """
+        for at in range(0, max(1, len(word)), PLAIN):
+            self._expected(word[at : at + PLAIN], times, into)
+
+    def _expected(self, word: str, times: float, into: dict[str, float]) -> None:
+        text, get, longest = WORD_START + word, self.p.get, self.longest
+        n = len(text)
+        alpha, arcs = [1.0] + [0.0] * n, []
+        for end in range(1, n + 1):
+            total = 0.0
+            for start in range(max(0, end - longest), end):
+                piece = text[start:end]
+                p = get(piece)
+                if p is not None:
+                    p *= alpha[start]
+                    total += p
+                    arcs.append((start, end, piece, p))
+            if text[end - 1] not in self.p:
+                p = math.exp(sum(self.log_p[b] for b in self._spelled(text[end - 1]))) * alpha[end - 1]
+                total += p
+                arcs.append((end - 1, end, "", p))
+            alpha[end] = total
+        # An arc's share of all paths: the paths to it, itself, and those behind it.
+        behind = [0.0] * n + [times / alpha[n]]
+        for start, end, piece, p in reversed(arcs):
+            share = p * behind[end]
+            behind[start] += share / alpha[start]
+            if piece:
+                into[piece] = into.get(piece, 0.0) + share
+            else:
+                for used in self._spelled(text[end - 1]):
                     into[used] = into.get(used, 0.0) + share
 
 
