@@ -16,7 +16,7 @@ from colloquy.llm.common import stored
 FOLDS, HELD_OUT = 7, 2
 ROUNDS = 2  # re-estimations of the piece probabilities from the corpus
 SMOOTH = 0.1  # added to the expected count of every piece
-PLAIN = 40  # letters of a word that are summed in plain probabilities
+PLAIN = 1e-250  # forward sums from here on are plain probabilities, smaller ones logs
 FLUSH = 200_000  # distinct words that a task counts before it passes them on
 FREQUENT = 200_000  # most frequent words that are sent to the scoring tasks
 BINS = 8  # frequency bins per factor of two
@@ -87,13 +87,14 @@ class Pieces:
     def expected(self, word: str, times: float, into: dict[str, float]) -> None:
         """Add ``times`` the expected number of uses of every piece in ``word``.
 
-        Forward and backward sums of plain probabilities; words too long for floating
-        point go in parts that overlap in nothing, which only learning can bear.
+        Forward and backward sums of plain probabilities; logs for words whose sums
+        come near the end of floating point.
         """
-        for at in range(0, max(1, len(word)), PLAIN):
-            self._expected(word[at : at + PLAIN], times, into)
+        if not self._expected(word, times, into):
+            self._expected_in_logs(word, times, into)
 
-    def _expected(self, word: str, times: float, into: dict[str, float]) -> None:
+    def _expected(self, word: str, times: float, into: dict[str, float]) -> bool:
+        """False, and nothing added, when a forward sum is below ``PLAIN``."""
         text, get, longest = WORD_START + word, self.p.get, self.longest
         n = len(text)
         alpha, arcs = [1.0] + [0.0] * n, []
@@ -110,6 +111,8 @@ class Pieces:
                 p = math.exp(sum(self.log_p[b] for b in self._spelled(text[end - 1]))) * alpha[end - 1]
                 total += p
                 arcs.append((end - 1, end, "", p))
+            if total < PLAIN:
+                return False
             alpha[end] = total
         # An arc's share of all paths: the paths to it, itself, and those behind it.
         behind = [0.0] * n + [times / alpha[n]]
@@ -121,6 +124,32 @@ class Pieces:
             else:
                 for used in self._spelled(text[end - 1]):
                     into[used] = into.get(used, 0.0) + share
+        return True
+
+    def _arcs(self, text: str, end: int) -> list[tuple[int, str, float]]:
+        """``(start, piece, log probability)`` of what ends at ``end``; no piece for a spelled letter."""
+        spans = ((start, text[start:end]) for start in range(max(0, end - self.longest), end))
+        arcs = [(start, piece, self.log_p[piece]) for start, piece in spans if piece in self.log_p]
+        if text[end - 1] not in self.log_p:
+            arcs.append((end - 1, "", sum(self.log_p[b] for b in self._spelled(text[end - 1]))))
+        return arcs
+
+    def _expected_in_logs(self, word: str, times: float, into: dict[str, float]) -> None:
+        text, exp = WORD_START + word, math.exp
+        n = len(text)
+        alpha = [0.0]
+        for end in range(1, n + 1):
+            terms = [alpha[start] + p for start, _, p in self._arcs(text, end)]
+            top = max(terms)
+            alpha.append(top + math.log(sum(exp(t - top) for t in terms)))
+        # Share of all paths that pass a position; behind it each arc has its part of the forward sum.
+        passing = [0.0] * n + [times]
+        for end in range(n, 0, -1):
+            for start, piece, p in self._arcs(text, end):
+                share = passing[end] * exp(alpha[start] + p - alpha[end])
+                passing[start] += share
+                for used in [piece] if piece else self._spelled(text[end - 1]):
+                    into[used] = into.get(used, 0.0) + share
 
 
 def word_counts(docs: DataFrame) -> DataFrame:

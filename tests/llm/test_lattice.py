@@ -46,6 +46,31 @@ def test_unknown_letters_are_spelled_in_bytes():
     assert math.isfinite(lattice.Pieces.from_model(piece_model()).log_probability("日x\x00" * 5000))
 
 
+@pytest.mark.parametrize("word", ["\U0001f600" * 30, "\ud7a3" * 5000, "ab" * 400, "a\u9fa5" * 60])
+def test_long_words_and_unknown_letters_are_learned_from(word):
+    pieces, used = toy(), {}
+    pieces.expected(word, 3.0, used)
+    spelled = sum(n for p, n in used.items() if p.startswith("<0x"))
+    letters = sum(n * len(p) for p, n in used.items() if not p.startswith("<0x"))
+    assert all(map(math.isfinite, used.values()))
+    assert spelled == pytest.approx(3 * sum(len(c.encode()) for c in word if c not in "ab"))
+    assert letters == pytest.approx(3 * (1 + sum(c in "ab" for c in word)))  # one word start
+
+
+def test_plain_and_log_sums_agree():
+    for word in ("abab", "b\u00e9a" * 5, "ab" * 30):
+        plain, logs = {}, {}
+        assert toy()._expected(word, 2.0, plain)
+        toy()._expected_in_logs(word, 2.0, logs)
+        assert logs == pytest.approx(plain)
+
+
+def test_texts_of_emoji_are_scored(spark):
+    rows = [(i, "\U0001f600" * 40 + " plain words") for i in range(9)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert all(math.isfinite(r["score"]) for r in lattice.score_documents(df, piece_model()).collect())
+
+
 def words(text):
     return [w for w in re.split(r"[ \t-\r]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")) if w]
 
