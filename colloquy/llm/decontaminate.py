@@ -1,19 +1,18 @@
-"""Operator 2: benchmark decontamination by rare seeds and local alignment."""
+"""Operator 2: benchmark decontamination by counted seeds and local alignment."""
 
 from __future__ import annotations
 
 import re
-from collections import defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SEED_WORDS = 3
-MIN_SEEDS = 8
+MIN_WORDS = 3  # shorter items are not searched
+SEED_GAP = 2  # a pair of neighbouring item words is a seed up to this distance in the text
 BLOCK_WORDS = 1_000_000  # benchmark words sent to the workers at a time
 MATCH, MISMATCH, GAP = 2, -1, -1
 LEAK = 0.5  # share of the best possible score from which an item counts as leaked
@@ -47,82 +46,96 @@ def smith_waterman(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
 
 @dataclass
 class Items:
-    """A bounded block of benchmark items as numbers, with their rare seeds."""
+    """A bounded block of benchmark items as numbers, with their seeds."""
 
     ids: list
     words: list[np.ndarray]
+    sizes: np.ndarray
     vocabulary: dict[str, int]
-    grams: np.ndarray
-    seeds: dict[int, list[tuple[int, int]]] = field(default_factory=dict)
+    grams: np.ndarray  # sorted codes of the word pairs
+    first: np.ndarray  # where the items of each pair begin in ``owner``
+    owner: np.ndarray
 
     @classmethod
     def of(cls, rows: list[tuple[object, str | None]]) -> Items:
-        """Items of fewer than ``SEED_WORDS`` words are left out."""
+        """Items of fewer than ``MIN_WORDS`` words are left out."""
         vocabulary: dict[str, int] = {}
         ids, words = [], []
         for item, text in rows:
             found = words_of(text)
-            if len(found) >= SEED_WORDS:
+            if len(found) >= MIN_WORDS:
                 ids.append(item)
                 words.append(np.array([vocabulary.setdefault(w, len(vocabulary) + 1) for w in found], dtype=np.int64))
-        self = cls(ids, words, vocabulary, np.empty(0, dtype=np.int64))
-        self.grams = np.unique(np.concatenate([self.codes(w)[1] for w in words] or [self.grams]))
-        return self
-
-    def codes(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Positions and codes of the runs of ``SEED_WORDS`` known words."""
-        known = ids > 0
-        runs = known[: len(ids) - 2] & known[1 : len(ids) - 1] & known[2:]
-        at = np.flatnonzero(runs)
-        base = len(self.vocabulary) + 1
-        return at, (ids[at] * base + ids[at + 1]) * base + ids[at + 2]
+        base, pairs = len(vocabulary) + 1, [np.empty((2, 0), dtype=np.int64)]
+        for number, own in enumerate(words):
+            codes = [own[:-1] * base + own[1:]]
+            if len(own) == MIN_WORDS:  # its middle word may be the one that is edited
+                codes.append(own[:1] * base + own[2:])
+            codes = np.unique(np.concatenate(codes))
+            pairs.append(np.stack([codes, np.full(len(codes), number)]))
+        code, owner = np.concatenate(pairs, axis=1)
+        order = np.argsort(code, kind="stable")
+        grams, first = np.unique(code[order], return_index=True)
+        sizes = np.array([len(w) for w in words], dtype=np.int64)
+        return cls(ids, words, sizes, vocabulary, grams, np.append(first, len(code)), owner[order])
 
     def hits(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """A text as word numbers (0: in no item), and position and number of its item n-grams."""
-        ids = np.array([*map(self.vocabulary.get, words_of(text))], dtype=np.float64)
-        ids = np.nan_to_num(ids, nan=0.0).astype(np.int64)
-        if len(ids) < SEED_WORDS or not len(self.grams):
-            return ids, np.empty(0, np.int64), np.empty(0, np.int64)
-        at, codes = self.codes(ids)
-        gram = np.minimum(np.searchsorted(self.grams, codes), len(self.grams) - 1)
-        same = self.grams[gram] == codes
-        return ids, at[same], gram[same]
-
-    def choose_seeds(self, frequency: np.ndarray) -> None:
-        """Of every item the half of its n-grams (``MIN_SEEDS`` at least) that the fewest documents hold."""
-        seeds = defaultdict(list)
-        for number, words in enumerate(self.words):
-            grams = np.searchsorted(self.grams, self.codes(words)[1])
-            rare = np.argsort(frequency[grams], kind="stable")[: max(MIN_SEEDS, -(-len(grams) // 2))]
-            for at in rare.tolist():
-                seeds[int(grams[at])].append((number, at))
-        self.seeds = dict(seeds)
+        """A text as word numbers (0: in no item), and position and item of every seed in it, without repeats."""
+        get = self.vocabulary.get
+        ids = np.array([get(w, 0) for w in words_of(text)], dtype=np.int64)
+        ats, grams = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for gap in range(1, SEED_GAP + 1):
+            at = np.flatnonzero((ids[:-gap] > 0) & (ids[gap:] > 0)) if len(self.grams) else ats[0]
+            codes = ids[at] * (len(self.vocabulary) + 1) + ids[at + gap]
+            gram = np.searchsorted(self.grams, codes)
+            same = self.grams[np.minimum(gram, len(self.grams) - 1)] == codes if len(at) else np.empty(0, bool)
+            ats.append(at[same])
+            grams.append(gram[same])
+        at, gram = np.concatenate(ats), np.concatenate(grams)
+        times = self.first[gram + 1] - self.first[gram]
+        skipped = np.repeat(self.first[gram] - np.cumsum(times) + times, times)
+        number = self.owner[skipped + np.arange(times.sum())]
+        number, at = np.divmod(np.unique(number * (len(ids) + 1) + np.repeat(at, times)), len(ids) + 1)
+        return ids, at, number
 
     def leaks(self, text: str | None, least: float) -> list[tuple[int, float, int, int]]:
-        """Item number, score, first and last word of the best passage of every leaked item."""
-        ids, at, gram = self.hits(text)
-        windows = defaultdict(list)
-        for p, g in zip(at.tolist(), gram.tolist()):
-            for number, q in self.seeds.get(g, ()):
-                size = len(self.words[number])
-                slack = max(5, size // 4)
-                windows[number].append((max(0, p - q - slack), min(len(ids), p - q + size + slack)))
+        """Item number, score, first and last word of the best passage of every leaked item.
+
+        Only stretches with enough seeds for the score are aligned; none else can
+        reach it. Of L item words an alignment of score S = 2 L ``least`` or more
+        matches M and edits X, with 2 M - X >= S. Of the M - 1 steps between matches
+        those that are no seed (no neighbours in the item, or over ``SEED_GAP`` apart)
+        leave out an item word, of which there are L - M, or cost two edits; so at
+        least (2 S - L) / 3 - 1 steps are seeds, and the passage is no longer than
+        M + X <= 3 L - S words.
+        """
+        ids, at, number = self.hits(text)
+        needed = least * MATCH * self.sizes
+        seeds = np.maximum(np.ceil((2 * needed - self.sizes) / 3 - 1 - 1e-9), 1).astype(np.int64)[number]
+        reach = np.ceil(3 * self.sizes - needed + 1e-9).astype(np.int64)[number]
+        last = np.arange(len(at)) + seeds - 1
+        inside = last < len(at)
+        last = np.where(inside, last, 0)
+        start = np.flatnonzero(inside & (number[last] == number) & (at[last] - at <= reach)) if len(at) else at
+        windows: dict[int, list[tuple[int, int]]] = {}
+        for k in start.tolist():
+            low, high = max(0, int(at[last[k]] - reach[k])), min(len(ids), int(at[k] + reach[k]) + 1)
+            windows.setdefault(int(number[k]), []).append((low, high))
         found = []
-        for number, spans in windows.items():
-            item = self.words[number]
-            needed = least * MATCH * len(item)
+        for i_item, spans in windows.items():
+            item, enough = self.words[i_item], needed[i_item] - 1e-9
             best = (0, 0, 0)
-            for start, end in _merged(spans):
-                window = ids[start:end]
+            for begin, end in _merged(spans):
+                window = ids[begin:end]
                 # No alignment can match more words than the two have in common.
-                if MATCH * min(np.isin(window, item).sum(), len(item)) < needed:
+                if MATCH * min(np.isin(window, item).sum(), np.isin(item, window).sum()) < enough:
                     continue
                 score, i, j = smith_waterman(item, window)
-                if score >= needed and score > best[0]:
+                if score >= enough and score > best[0]:
                     back, _, k = smith_waterman(item[i::-1], window[j::-1])
-                    best = (score, start + j - k, start + j)
+                    best = (score, begin + j - k, begin + j)
             if best[0]:
-                found.append((number, best[0] / (MATCH * len(item)), best[1], best[2]))
+                found.append((i_item, best[0] / (MATCH * len(item)), best[1], best[2]))
         return found
 
 
@@ -136,26 +149,7 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _frequencies(docs: DataFrame, items: Items) -> np.ndarray:
-    """In how many documents each n-gram of the items stands; one number per n-gram comes back."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(items.grams), dtype=np.int64)
-        for batch in batches:
-            for text in batch.column(0):
-                total[np.unique(items.hits(text.as_py())[2])] += 1
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(total[some])], names=["gram", "n"])
-
-    texts = docs.select(F.col("text").cast("string"))
-    counted = texts.mapInArrow(count, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
-    out = np.zeros(len(items.grams), dtype=np.int64)
-    for gram, n in counted.collect():
-        out[gram] = n
-    return out
-
-
-def item_blocks(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> Iterator[Items]:
+def item_blocks(benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> Iterator[Items]:
     """The benchmark in blocks of about ``block_words`` words, each with its seeds."""
     items = benchmark.select(F.col("item_id"), F.col("text").cast("string").alias("text"))
     total = items.agg(F.sum(F.size(F.split(F.coalesce("text", F.lit("")), r"\s+")))).first()[0] or 0
@@ -164,19 +158,20 @@ def item_blocks(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_
     for number in range(blocks):
         block_items = Items.of([tuple(r) for r in items.filter(block == number).orderBy("item_id", "text").collect()])
         if block_items.ids:
-            block_items.choose_seeds(_frequencies(docs, block_items))
             yield block_items
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, least: float = LEAK, block_words: int = BLOCK_WORDS) -> DataFrame:
     """``(doc_id, item_id, score, first_word, last_word)`` for every leaked item of every document.
 
-    Seeds are word trigrams of an item; only the rarer half of them, by the number
-    of documents that hold them, starts an alignment. Around its seeds a text is
-    aligned with the item (Smith-Waterman over words; match 2, mismatch and gap
-    -1). The score is the share of the item's best possible score, the words are
-    those of the best passage. The texts are read twice per block of the benchmark
-    and never shuffled; what is sent to the workers is one block.
+    Seeds are the pairs of neighbouring words of an item, side by side in the text
+    or one word apart. Where there are enough of them for the score (see
+    ``Items.leaks``), the text is aligned with the item (Smith-Waterman over words;
+    match 2, mismatch and gap -1). With ``least`` at 0.5 or more no alignment of that
+    score has fewer, so none is missed. The score is the share of the item's best
+    possible score, the words are those of the best passage. The texts are read once
+    per block of the benchmark and never shuffled; what is sent to the workers is
+    one block.
 
     Null texts leak nothing; items of fewer than three words are not searched. Null
     ids and repeated rows or items are returned like others. Empty tables: no rows.
@@ -184,7 +179,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, least: float = LEAK, block_word
     """
     schema = "doc_id bigint, item_id bigint, score double, first_word bigint, last_word bigint"
     out = docs.sparkSession.createDataFrame([], schema)
-    for items in item_blocks(docs, benchmark, block_words):
+    for items in item_blocks(benchmark, block_words):
 
         def align(batches: Iterator[pa.RecordBatch], items: Items = items) -> Iterator[pa.RecordBatch]:
             names = ["doc_id", "item_id", "score", "first_word", "last_word"]
@@ -208,7 +203,7 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, least: float = LEAK) ->
 
     The decision is made where a text is read, so nothing is joined or shuffled.
     """
-    for items in item_blocks(docs, benchmark):
+    for items in item_blocks(benchmark):
 
         def keep(batches: Iterator[pa.RecordBatch], items: Items = items) -> Iterator[pa.RecordBatch]:
             for batch in batches:

@@ -61,6 +61,44 @@ def test_finds_edited_copies_and_nothing_else(spark):
     assert kept == set(texts) - {d for d, _ in leaked}
 
 
+def edited(rng, item, every, kind):
+    """Every so many words one is replaced, lost or followed by a new one."""
+    out = []
+    for i, word in enumerate(item):
+        if i % every != every - 1:
+            out.append(word)
+        elif kind == "insert":
+            out += [word, f"n{rng.randrange(10**9)}"]
+        elif kind == "replace":
+            out.append(f"n{rng.randrange(10**9)}")
+    return out
+
+
+def test_finds_strongly_edited_copies(spark):
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(5000)]
+    items = [rng.choices(words, k=40) for _ in range(30)]
+    cases = [(n, k) for k in ("replace", "lose", "insert") for n in (3, 4, 5, 6)] + [(2, "insert"), (1, "insert")]
+    docs = [(i, edited(rng, items[i], *case), i) for i, case in enumerate(cases)]
+    docs += [(100 + i, docs[2][1], 2) for i in range(20)]  # one edited copy in many documents
+    texts = [(i, " ".join(rng.choices(words, k=100) + t + rng.choices(words, k=100))) for i, t, _ in docs]
+    df = spark.createDataFrame(texts, "doc_id bigint, text string")
+    benchmark = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id bigint, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in dc.leaks(df, benchmark).collect()} == {(i, n) for i, _, n in docs}
+
+
+def test_finds_whatever_aligns():
+    rng = random.Random(3)
+    for _ in range(1500):
+        words = [f"w{i}" for i in range(rng.choice((6, 12, 40)))]
+        item = rng.choices(words, k=rng.randint(3, 14))
+        text = [w for word in item for w in rng.choice(([word], [word], [], ["x"], [word, "y"], [word, "y", "z"]))]
+        text = rng.choices(words, k=rng.randint(0, 9)) + text + rng.choices(words, k=rng.randint(0, 9))
+        score = slow_alignment(item, text) / (dc.MATCH * len(item))
+        found = dc.Items.of([(1, " ".join(item))]).leaks(" ".join(text), dc.LEAK)
+        assert [f[1] for f in found] == ([score] if score >= dc.LEAK else [])
+
+
 def test_odd_rows(spark, odd, no_rows):
     items = [(1, "same words here again and"), (1, "same words here again and"), (None, None), (2, ""), (3, "a b"), (None, "a text without an id")]
     benchmark = spark.createDataFrame([(*i, "x") for i in items], "item_id bigint, text string, doc_id string")
