@@ -46,10 +46,18 @@ def digest(*columns: str) -> Column:
 
 
 def read_with_position(spark, path: str, *columns: str) -> DataFrame:
-    """Rows of a Parquet folder and their place in it: by file, then by row."""
-    place = F.struct(F.col("_metadata.file_name"), F.col("_metadata.row_index"))
-    order = W.orderBy(place)
-    return spark.read.parquet(path).select(*columns, F.row_number().over(order).alias("position"))
+    """Rows of a Parquet folder and their place in it: by file, then by row.
+
+    Only the row counts of the files, one small row each, are put in order.
+    """
+    df = spark.read.parquet(path)
+    name = F.col("_metadata.file_name").alias("__file")
+    sizes = df.select(name).groupBy("__file").agg(F.count(F.lit(1)).alias("__n"))
+    before = W.orderBy("__file").rowsBetween(W.unboundedPreceding, -1)
+    offsets = sizes.select("__file", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    rows = df.select(*columns, name, F.col("_metadata.row_index").alias("__index"))
+    position = (F.col("__before") + F.col("__index") + 1).alias("position")
+    return rows.join(F.broadcast(offsets), "__file").select(*columns, position)
 
 
 def message_columns(c: Column | str = "dialogue") -> list[Column]:

@@ -181,3 +181,14 @@ def test_null_keys_are_an_error(spark):
     df = spark.createDataFrame([(1,), (None,)], "id int")
     with pytest.raises(Exception, match="null key"):
         mixing.take_n(df, 1, "id").collect()
+
+
+def test_positions_come_from_counts_of_files(spark, tmp_path):
+    from colloquy.catalog.queries import read_with_position
+
+    path = str(tmp_path / "rows")
+    spark.range(0, 5000, 1, 7).write.parquet(path)
+    got = read_with_position(spark, path, "id")
+    assert [tuple(r) for r in got.orderBy("id").collect()] == [(i, i + 1) for i in range(5000)]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "row_number" not in plan and "__n" in plan.split("Window", 1)[1].splitlines()[0]
