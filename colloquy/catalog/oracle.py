@@ -335,6 +335,7 @@ ORACLE: dict[str, str] = {
         QUALIFY {rank('42', 'o_orderkey')} <= 1000""",
     "union_all": f"""SELECT 'alpaca' AS name, id FROM ({ALPACA}) UNION ALL SELECT 'dolly', id FROM ({DOLLY})
         UNION ALL SELECT 'sciq', id FROM ({SCIQ}) UNION ALL SELECT 'alpaca', id FROM ({ALPACA})""",
+    "read_source_jsonl": f"SELECT doc_id, md5(text) AS digest, true AS has_row_id FROM documents QUALIFY {rank('42', 'doc_id')} <= 500",
     "shuffle": f"SELECT doc_id, md5(text) AS digest, {rank('42', 'doc_id')} AS position FROM documents",
     "shuffle_within_language": f"SELECT doc_id, lang, {rank('42', 'doc_id', 'lang')} AS position FROM documents",
     "balance_by_targets": f"SELECT id, source, digest, {rank('42:mix', 'id')} AS position FROM ({capped(ALL_IDS)})",

@@ -57,7 +57,8 @@ def read_with_position(spark, path: str, *columns: str) -> DataFrame:
     offsets = sizes.select("__file", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
     rows = df.select(*columns, name, F.col("_metadata.row_index").alias("__index"))
     position = (F.col("__before") + F.col("__index") + 1).alias("position")
-    return rows.join(F.broadcast(offsets), "__file").select(*columns, position)
+    names = [c for c in rows.columns if c not in ("__file", "__index")]
+    return rows.join(F.broadcast(offsets), "__file").select(*names, position)
 
 
 def message_columns(c: Column | str = "dialogue") -> list[Column]:
@@ -84,6 +85,15 @@ def read_source_sample(spark, sf_dir):
     return df.select("doc_id", "text")
 
 
+@query
+def read_source_jsonl(spark, sf_dir):
+    """Documents written as JSON lines in shuffled order, read back: the first 500 lines, with row ids."""
+    path = scratch_path(spark, "lines")
+    writers.write_jsonl(mixing.shuffle(A.table(spark, sf_dir, "documents"), "doc_id"), path)
+    df = readers.read_source(spark, path, "doc_id bigint, text string", fmt="json", sample_len=500, row_id="row_id")
+    return df.select("doc_id", F.md5("text").alias("digest"), F.expr("row_id LIKE '%.json#%'").alias("has_row_id"))
+
+
 @query
 def head_slice(spark, sf_dir):
     return readers.head_slice(A.table(spark, sf_dir, "orders"), 50, "o_orderkey").select("o_orderkey", "o_custkey")
@@ -455,9 +465,7 @@ def mix_and_split(spark, sf_dir):
     parts = list(_whole_records(spark, sf_dir, ("alpaca", "sciq")).values())
     path = scratch_path(spark, "raw")
     split = mixing.mix_and_split(parts, path, key="id").select("id", "split", "digest")
-    # Lines of one file keep their order in the ids that Spark counts up.
-    raw = spark.read.schema("id string").json(path).select("id", F.input_file_name().alias("f"), F.monotonically_increasing_id().alias("i"))
-    raw = raw.select("id", F.row_number().over(W.orderBy("f", "i")).alias("position"))
+    raw = readers.file_positions(spark.read.schema("id string").json(path)).select("id", F.col("__position").alias("position"))
     return split.join(raw, "id", "left")
 
 

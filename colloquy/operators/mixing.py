@@ -35,9 +35,23 @@ def union_all(dfs: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, dfs)
 
 
-def shuffle(df: DataFrame, key: str, seed: int = SEED) -> DataFrame:
-    """Rows in seeded random order."""
-    return df.orderBy(order_hash(seed, F.col(key)), key)
+def shuffle(df: DataFrame, key: str, seed: int = SEED, partitions: int | None = None) -> DataFrame:
+    """Rows in seeded random order: partition by partition, row by row.
+
+    The order is ``(md5(seed:key), key)``. The hash is uniform, so its first eight
+    hex digits name the row's partition directly: partition ``p`` of ``n`` holds the
+    hashes in ``[p, p + 1) * 2**32 / n``. One hash exchange and a sort inside each
+    partition give the global order, with no sampling pass over the child (which an
+    ``orderBy`` would run a second time to find range bounds). Written files keep
+    the order in their part numbers. ``partitions`` defaults to
+    ``spark.sql.shuffle.partitions``. Rows with equal keys stay together, in no
+    particular order among themselves; a null key is an error.
+    """
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    h = order_hash(seed, F.col(key))
+    prefix = F.conv(F.substring("__order", 1, 8), 16, 10).cast("long")
+    part = F.shiftright(prefix * F.lit(n), 32).cast("int")
+    return df.withColumn("__order", h).repartitionById(n, part).sortWithinPartitions("__order", key).drop("__order")
 
 
 def source_cutoffs(

@@ -88,7 +88,44 @@ def test_final_pass_of_prepare_corpus_only_sorts(spark):
         df = corpus.prepare_corpus(sources, corpus_targets(spark, SF_DIR), shuffled=shuffled)
         plan = df._jdf.queryExecution().executedPlan().toString()
         moved = [x for x in plan.splitlines() if "Exchange" in x and "BroadcastExchange" not in x]
-        assert len(moved) == shuffled and all("rangepartitioning" in x for x in moved)
+        # The random order needs no range bounds, so nothing samples the texts first.
+        assert len(moved) == shuffled and not any("rangepartitioning" in x.lower() for x in moved)
+
+
+@pytest.mark.parametrize("split_bytes", [256, 4096, 1 << 27])
+@pytest.mark.parametrize("n", [0, 1, 7, 40, 41, 119, 200])
+def test_json_lines_in_file_order_for_any_split_size(spark, tmp_path, split_bytes, n):
+    folder = tmp_path / "lines"
+    folder.mkdir()
+    sizes = [40, 0, 79]  # an empty file among them
+    expected = []
+    for f, size in enumerate(sizes):
+        ids = [1000 * f + i for i in range(size)]
+        (folder / f"part-{f}.json").write_text("".join(json.dumps({"id": i, "pad": "x" * (i % 37)}) + "\n" for i in ids))
+        expected += [(f"part-{f}.json", k, i) for k, i in enumerate(ids)]
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
+    try:
+        placed = readers.file_positions(spark.read.schema("id long, pad string").json(str(folder))).collect()
+        got = readers.read_source(spark, str(folder), "id long", fmt="json", sample_len=n, row_id="row_id").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert sorted((r["__position"], r["id"]) for r in placed) == [(p + 1, e[2]) for p, e in enumerate(expected)]
+    assert {(r["__file"].rsplit("/", 1)[1], r["__row"], r["id"]) for r in placed} == set(expected)
+    assert sorted(r["id"] for r in got) == [e[2] for e in expected[:n]]
+    assert {r["row_id"].rsplit("/", 1)[1] for r in got} == {f"{e[0]}#{e[1]}" for e in expected[:n]}
+
+
+def test_shuffle_is_one_global_order(spark, tmp_path):
+    from colloquy.operators import mixing, ranking
+
+    df = spark.range(0, 3000, 1, 7).withColumnRenamed("id", "k")
+    expected = [r["k"] for r in df.select("k", ranking.order_hash(42, F.col("k")).alias("h")).orderBy("h", "k").collect()]
+    mixing.shuffle(df, "k", 42, partitions=5).write.parquet(str(tmp_path / "s"))
+    files = sorted(p for p in (tmp_path / "s").iterdir() if p.name.startswith("part-"))
+    got = [k for f in files for k in pd.read_parquet(f)["k"]]
+    assert got == expected and len(files) == 5
+    assert mixing.shuffle(df.filter(F.lit(False)), "k").count() == 0
 
 
 def test_stream_clean_equals_batch(spark, tmp_path):
