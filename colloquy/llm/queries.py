@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colloquy.llm import decontaminate, fingerprints, lattice, packing, quality, secret_scan, simhash, url_filter, warc, windows
+from colloquy.llm import decontaminate, lexical, fingerprints, lattice, packing, quality, secret_scan, simhash, url_filter, warc, windows
 from colloquy.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -211,3 +211,37 @@ def op9_lm_scoring(spark, sf_dir):
 @query
 def op8_substring_dedup(spark, sf_dir):
     return windows.repeated_passages(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_ranked_lexical_search(spark, sf_dir):
+    ranked = lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return ranked.withColumnRenamed("qid", "item_id")
+
+
+def _lexical_sql() -> str:
+    split = (
+        "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+        f"'{lexical.TERM_PATTERN}')"
+    )
+    return f"""
+WITH d AS (SELECT doc_id, {split} AS t FROM documents),
+s AS (SELECT doc_id, CAST(len(t) AS BIGINT) AS n, t FROM d WHERE len(t) > 0),
+tot AS (SELECT CAST(count(*) AS BIGINT) AS big_n, CAST(sum(n) AS BIGINT) AS big_l FROM s),
+occ AS (SELECT doc_id, n, unnest(t) AS term FROM s),
+tf AS (SELECT term, doc_id, n, CAST(count(*) AS BIGINT) AS tf FROM occ GROUP BY term, doc_id, n),
+q AS (SELECT DISTINCT item_id, unnest({split}) AS term FROM benchmark),
+dfs AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+w AS (SELECT term, CAST(floor(1000.0 * ln((2.0 * big_n + 2) / (2.0 * df + 1))) AS BIGINT) AS w FROM dfs, tot),
+sc AS (
+  SELECT q.item_id, tf.doc_id,
+         CAST(sum(w.w * ((1000000000 * tf.tf) // (1000 * tf.tf + 8 * (10 + (90 * tf.n * tot.big_n) // tot.big_l)))) AS BIGINT) AS score
+  FROM q JOIN tf ON q.term = tf.term JOIN w ON w.term = q.term, tot
+  GROUP BY q.item_id, tf.doc_id)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, CAST(doc_id AS BIGINT) AS doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM sc WHERE score > 0)
+WHERE rank <= 10
+"""
+
+
+ORACLE["op12_ranked_lexical_search"] = _lexical_sql()
