@@ -66,24 +66,41 @@ def query_terms(queries: DataFrame, qid: str = "item_id", text: str = "text") ->
     return queries.select(F.col(qid).alias("qid"), F.explode(terms(F.col(text))).alias("term")).distinct()
 
 
+def term_ids(qterms: DataFrame) -> DataFrame:
+    """``(term, tid)``: the query terms numbered from 1 (one small window over the query vocabulary)."""
+    return qterms.select("term").distinct().withColumn("tid", F.dense_rank().over(W.orderBy("term")).cast("int"))
+
+
 def impacts(docs: DataFrame, vocabulary: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Postings ``(term, doc_id, impact)`` for the terms of ``vocabulary`` (one column ``term``).
+    """Postings ``(term, doc_id, impact)`` for the terms of ``vocabulary`` ``(term, tid)``; ``term`` is the tid.
 
     N: documents with a term; L: their terms with repeats; n: a document's terms;
     df, tf as usual. ``w = floor(1000 ln((2N + 2) / (2 df + 1)))`` in doubles,
     ``m = 10 + (90 n N) div L`` and impact ``= w * ((10**9 tf) div (1000 tf + 8 m))``
     in 64-bit integers. Rows that repeat a ``doc_id`` are one document that holds
     all their terms (a hot id is pre-aggregated, never collected).
+
+    The texts are split once: every document adds one row without a term that
+    carries its length, so term counts and lengths come from one aggregate,
+    written to the scratch folder.
     """
     split = docs.select(F.col(doc_id).alias("doc_id"), terms(F.col(text)).alias("__terms"))
     split = split.withColumn("__n", F.size("__terms").cast("long")).filter(F.col("__n") > 0)
-    lengths = stored(split.groupBy("doc_id").agg(F.sum("__n").alias("__n")), "lengths")
-    n_docs, n_all = lengths.agg(F.count(F.lit(1)), F.coalesce(F.sum("__n"), F.lit(0)).cast("long")).first()
+    occurrences = split.select(
+        "doc_id", "__n", F.explode(F.concat("__terms", F.array(F.lit(None).cast("string")))).alias("term")
+    )
     n_terms = vocabulary.count()
-    occurrences = split.select("doc_id", F.explode("__terms").alias("term")).join(
-        _small(vocabulary.select("term").distinct(), n_terms), "term"
+    known = occurrences.join(_small(vocabulary.select("term", "tid"), n_terms), "term", "left")
+    known = known.filter(F.col("tid").isNotNull() | F.col("term").isNull())
+    counts = stored(
+        known.groupBy("tid", "doc_id").agg(
+            F.count(F.lit(1)).alias("tf"), F.sum(F.when(F.col("term").isNull(), F.col("__n"))).alias("__n")
+        ),
+        "counts",
     )
-    tf = occurrences.groupBy("term", "doc_id").agg(F.count(F.lit(1)).alias("tf")).join(lengths, "doc_id")
+    lengths = counts.filter(F.col("tid").isNull()).select("doc_id", "__n")
+    n_docs, n_all = lengths.agg(F.count(F.lit(1)), F.coalesce(F.sum("__n"), F.lit(0)).cast("long")).first()
+    tf = counts.filter(F.col("tid").isNotNull()).select(F.col("tid").alias("term"), "doc_id", "tf").join(lengths, "doc_id")
     frequencies = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     w = F.floor(F.lit(1000.0) * F.log(F.lit(2.0 * n_docs + 2) / (F.lit(2.0) * F.col("df") + 1))).cast("long")
     weights = frequencies.select("term", w.alias("w"))
@@ -129,10 +146,18 @@ def pair_bounds(qterms: DataFrame, postings: DataFrame, bounds: DataFrame) -> Da
     return with_pairs.select("qid", "term", "rank", "ub", prefix.alias("prefix_bound"))
 
 
-def full_scores(candidates: DataFrame, qterms: DataFrame, postings: DataFrame) -> DataFrame:
-    """``(qid, doc_id, score)`` for candidate ``(qid, doc_id)`` pairs, by look-ups on ``(term, doc_id)``."""
-    wanted = candidates.join(qterms, "qid")
-    return wanted.join(postings, ["term", "doc_id"]).groupBy("qid", "doc_id").agg(F.sum("impact").alias("score"))
+def forward(postings: DataFrame) -> DataFrame:
+    """``(doc_id, impacts)``: a document's query-term impacts as a map; bounded by the query vocabulary."""
+    entries = F.map_from_entries(F.collect_list(F.struct("term", "impact")))
+    return postings.groupBy("doc_id").agg(entries.alias("impacts"))
+
+
+def full_scores(candidates: DataFrame, qterms: DataFrame, index: DataFrame) -> DataFrame:
+    """``(qid, doc_id, score)`` for candidate ``(qid, doc_id)`` pairs: the query's terms looked up in the document's map."""
+    wanted = qterms.groupBy("qid").agg(F.collect_set("term").alias("__terms"))  # one small row per query
+    scored = candidates.join(F.broadcast(wanted), "qid").join(index, "doc_id")
+    found = F.transform("__terms", lambda t: F.coalesce(F.element_at("impacts", t), F.lit(0).cast("long")))
+    return scored.select("qid", "doc_id", F.aggregate(found, F.lit(0).cast("long"), lambda a, b: a + b).alias("score"))
 
 
 def top_k(scores: DataFrame, k: int = TOP) -> DataFrame:
@@ -149,18 +174,20 @@ def search(
     Only scores above 0 count; equal scores go to the smaller doc_id. See the module
     for the method and the edge cases.
     """
-    qterms = query_terms(queries, qid, qtext)
-    vocabulary = qterms.select("term").distinct()
+    words = query_terms(queries, qid, qtext)
+    vocabulary = stored(term_ids(words), "terms")
+    qterms = words.join(_small(vocabulary, MAX_BROADCAST_TERMS), "term").select("qid", F.col("tid").alias("term"))
     postings = stored(impacts(docs, vocabulary, doc_id, text), "postings")
+    index = stored(forward(postings), "forward")
     bounds = postings.groupBy("term").agg(F.max("impact").alias("ub"))
     # Threshold: the best postings of each term, scored in full.
     best = postings.withColumn("__r", F.row_number().over(W.partitionBy("term").orderBy(F.desc("impact"), "doc_id")))
     seeds = qterms.join(best.filter(F.col("__r") <= k).select("term", "doc_id"), "term").select("qid", "doc_id").distinct()
-    seeded = top_k(full_scores(seeds, qterms, postings), k)
+    seeded = top_k(full_scores(seeds, qterms, index), k)
     theta = seeded.filter(F.col("rank") == k).select("qid", F.col("score").alias("theta"))
     # MaxScore: terms beyond the prefix whose pair-bound sum is below theta are essential.
     prefixed = pair_bounds(qterms, postings, bounds).join(theta, "qid", "left").fillna(0, ["theta"])
     essential = prefixed.filter(F.col("prefix_bound") >= F.col("theta")).select("qid", "term")
     candidates = essential.join(postings.select("term", "doc_id"), "term").select("qid", "doc_id").distinct()
-    ranked = top_k(full_scores(candidates, qterms, postings), k)
+    ranked = top_k(full_scores(candidates, qterms, index), k)
     return ranked.select(F.col("qid"), F.col("rank").cast("int"), F.col("doc_id").cast("long"), F.col("score").cast("long"))
