@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colloquy.llm import decontaminate, lexical, neighbours, fingerprints, lattice, packing, quality, secret_scan, simhash, url_filter, warc, windows
+from colloquy.llm import alignment, decontaminate, lexical, neighbours, fingerprints, lattice, packing, quality, secret_scan, simhash, url_filter, warc, windows
 from colloquy.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -266,3 +266,16 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS rank FROM d)
 WHERE rank <= 10
 """
+
+
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op11_cross_tokenizer_alignment(spark, sf_dir):
+    return alignment.alignment(
+        table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model")
+    )
