@@ -101,59 +101,56 @@ def tokenizers_of(a_path: str, b_path: str):
     return a, b, a_bytes, b_bytes
 
 
-def align(a_ids: list[int], b_ids: list[int], a_bytes, b_bytes, whole: bytes):
+def align(a_ids: np.ndarray, b_ids: np.ndarray, a_bytes, b_bytes, whole: bytes):
     """``(groups, links)`` of one text, or ``None`` when a side's bytes differ from ``whole``.
 
-    ``groups``: ``[(a ids, b ids)]``; ``links``: ``[(a id, b id)]`` per overlapping occurrence pair.
+    ``groups``: ``[(a ids, b ids)]`` between consecutive common token ends; ``links``:
+    ``(a ids, b ids)`` arrays, one entry per overlapping occurrence pair. Two tilings of
+    the same bytes overlap once per segment between consecutive ends of either side,
+    so the links are read off the union of the end offsets.
     """
-    a_len = [len(a_bytes[i]) for i in a_ids]
-    b_len = [len(b_bytes[i]) for i in b_ids]
     if b"".join(a_bytes[i] for i in a_ids) != whole or b"".join(b_bytes[i] for i in b_ids) != whole:
         return None
-    a_end, b_end = np.cumsum(a_len), np.cumsum(b_len)
-    groups, links = [], []
-    i = j = 0
-    ga, gb = [], []
-    while i < len(a_ids) and j < len(b_ids):
-        links.append((a_ids[i], b_ids[j]))
-        ea, eb = a_end[i], b_end[j]
-        if ea <= eb:
-            ga.append(a_ids[i])
-            i += 1
-        if eb <= ea:
-            gb.append(b_ids[j])
-            j += 1
-        if ea == eb:
-            groups.append((ga, gb))
-            ga, gb = [], []
-    return groups, links
+    a_end = np.cumsum([len(a_bytes[i]) for i in a_ids])
+    b_end = np.cumsum([len(b_bytes[i]) for i in b_ids])
+    ends = np.union1d(a_end, b_end)
+    links = (a_ids[np.searchsorted(a_end, ends)], b_ids[np.searchsorted(b_end, ends)])
+    cuts = np.intersect1d(a_end, b_end)
+    a_groups = np.split(a_ids, np.searchsorted(a_end, cuts, side="right")[:-1])
+    b_groups = np.split(b_ids, np.searchsorted(b_end, cuts, side="right")[:-1])
+    return list(zip(a_groups, b_groups)), links
 
 
 def groups_text(groups) -> str:
-    return ";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in groups)
+    return ";".join(",".join(map(str, a.tolist())) + "|" + ",".join(map(str, b.tolist())) for a, b in groups)
+
+
+SUB_BATCH = 128  # texts encoded at a time: an encoding holds several objects per token
 
 
 def aligned_rows(batch: pd.DataFrame, a_path: str, b_path: str) -> pd.DataFrame:
     a, b, a_bytes, b_bytes = tokenizers_of(a_path, b_path)
     texts = [t if isinstance(t, str) else "" for t in batch["text"]]
-    a_enc = a.encode_batch([" " + t for t in texts], add_special_tokens=False) if texts else []
-    b_enc = b.encode(texts) if texts else []
     out = {c: [] for c in ("n_a", "n_b", "n_groups", "n_links", "groups_sha256", "keys", "mults")}
-    for text, ea, eb in zip(texts, a_enc, b_enc):
-        done = align(list(ea.ids), list(eb), a_bytes, b_bytes, (" " + text).encode()) if text else None
-        if done is None:
-            for c, v in (("n_a", 0), ("n_b", 0), ("n_groups", 0), ("n_links", 0), ("groups_sha256", ""), ("keys", []), ("mults", [])):
-                out[c].append(v)
-            continue
-        groups, links = done
-        keys, mults = np.unique(np.array([(x << 32) | y for x, y in links], dtype=np.int64), return_counts=True)
-        out["n_a"].append(len(ea.ids))
-        out["n_b"].append(len(eb))
-        out["n_groups"].append(len(groups))
-        out["n_links"].append(len(links))
-        out["groups_sha256"].append(hashlib.sha256(groups_text(groups).encode()).hexdigest())
-        out["keys"].append(keys.tolist())
-        out["mults"].append(mults.astype(np.int64).tolist())
+    for start in range(0, len(texts), SUB_BATCH):
+        part = texts[start : start + SUB_BATCH]
+        a_enc = [np.asarray(e.ids, dtype=np.int64) for e in a.encode_batch([" " + t for t in part], add_special_tokens=False)]
+        b_enc = [np.asarray(e, dtype=np.int64) for e in b.encode(part)]
+        for text, ea, eb in zip(part, a_enc, b_enc):
+            done = align(ea, eb, a_bytes, b_bytes, (" " + text).encode()) if text else None
+            if done is None:
+                for c, v in (("n_a", 0), ("n_b", 0), ("n_groups", 0), ("n_links", 0), ("groups_sha256", ""), ("keys", []), ("mults", [])):
+                    out[c].append(v)
+                continue
+            groups, (la, lb) = done
+            keys, mults = np.unique((la << 32) | lb, return_counts=True)
+            out["n_a"].append(len(ea))
+            out["n_b"].append(len(eb))
+            out["n_groups"].append(len(groups))
+            out["n_links"].append(len(la))
+            out["groups_sha256"].append(hashlib.sha256(groups_text(groups).encode()).hexdigest())
+            out["keys"].append(keys)
+            out["mults"].append(mults.astype(np.int64))
     return pd.DataFrame({"__row": batch["__row"].to_numpy(), "doc_id": batch["doc_id"].to_numpy(), **out})
 
 
