@@ -10,9 +10,9 @@ Method (all Spark joins and aggregates, no Python on the main path):
    broadcast behind a size check). ``ub(t)`` is a term's largest impact.
 2. Pair lists. Each query's terms are sorted by ``ub`` and paired in that order
    (1st with 2nd, 3rd with 4th, ...). For every pair the intersection of the two
-   posting lists (driven from the rarer term, joined on the unique key
-   ``(term, doc_id)``) gives the joint maximum impact, so the pair bound is
-   ``max(joint, ub1, ub2) <= ub1 + ub2``.
+   posting lists (read inside each document's row of a forward index, so no
+   posting list is shuffled) gives the joint maximum impact, so the pair bound
+   is ``max(joint, ub1, ub2) <= ub1 + ub2``.
 3. Threshold. The 10 highest-impact postings of every query term (a top-k per
    term, which Spark limits inside each task before the shuffle, so a frequent
    term is no hot key) are scored in full; the k-th of these exact scores per
@@ -110,11 +110,11 @@ def impacts(docs: DataFrame, vocabulary: DataFrame, doc_id: str = "doc_id", text
     return joined.select("term", "doc_id", (F.col("w") * part).alias("impact"))
 
 
-def pair_bounds(qterms: DataFrame, postings: DataFrame, bounds: DataFrame) -> DataFrame:
+def pair_bounds(qterms: DataFrame, index: DataFrame, bounds: DataFrame) -> DataFrame:
     """``(qid, term, rank, ub, prefix_bound)``: the pair-bound sum of a query's terms up to each, in ub order.
 
-    ``prefix_bound`` does not decrease along ``rank``: a pair's bound is at least
-    the ``ub`` of its first term.
+    ``index`` is the forward index (``forward``). ``prefix_bound`` does not decrease
+    along ``rank``: a pair's bound is at least the ``ub`` of its first term.
     """
     order = W.partitionBy("qid").orderBy("ub", "term")
     ranked = qterms.join(bounds, "term", "left").fillna(0, ["ub"]).withColumn("rank", F.row_number().over(order))
@@ -122,14 +122,12 @@ def pair_bounds(qterms: DataFrame, postings: DataFrame, bounds: DataFrame) -> Da
     firsts = ranked.filter(F.col("rank") % 2 == 1).select("qid", "pair", F.col("term").alias("t1"), F.col("ub").alias("ub1"))
     seconds = ranked.filter(F.col("rank") % 2 == 0).select("qid", "pair", F.col("term").alias("t2"), F.col("ub").alias("ub2"))
     pairs = firsts.join(seconds, ["qid", "pair"])
-    # Intersections, each pair once: t1 is the rarer-impact term of its pair; each of its
-    # postings is looked up on the unique key (t2, doc_id).
+    # Intersections, each pair once, inside each document's row of the forward index:
+    # every posting of t1 looks up t2 in the same map. Only the maxima are shuffled.
     distinct_pairs = pairs.select("t1", "t2").distinct()
-    left = postings.select(F.col("term").alias("t1"), "doc_id", F.col("impact").alias("i1")).join(
-        _small(distinct_pairs, MAX_BROADCAST_TERMS), "t1"
-    )
-    right = postings.select(F.col("term").alias("t2"), "doc_id", F.col("impact").alias("i2"))
-    joint = left.join(right, ["t2", "doc_id"]).groupBy("t1", "t2").agg(F.max(F.col("i1") + F.col("i2")).alias("joint"))
+    entries = index.select("impacts", F.explode("impacts").alias("t1", "i1"))
+    both = entries.join(_small(distinct_pairs, MAX_BROADCAST_TERMS), "t1").withColumn("i2", F.element_at("impacts", F.col("t2")))
+    joint = both.filter(F.col("i2").isNotNull()).groupBy("t1", "t2").agg(F.max(F.col("i1") + F.col("i2")).alias("joint"))
     bound = F.greatest(F.coalesce("joint", F.lit(0)), "ub1", "ub2")
     pair_bound = pairs.join(joint, ["t1", "t2"], "left").select("qid", "pair", bound.alias("pb"))
     upto = W.partitionBy("qid").orderBy("pair").rowsBetween(W.unboundedPreceding, -1)
@@ -186,7 +184,7 @@ def search(
     seeded = top_k(full_scores(seeds, qterms, index), k)
     theta = seeded.filter(F.col("rank") == k).select("qid", F.col("score").alias("theta"))
     # MaxScore: terms beyond the prefix whose pair-bound sum is below theta are essential.
-    prefixed = pair_bounds(qterms, postings, bounds).join(theta, "qid", "left").fillna(0, ["theta"])
+    prefixed = pair_bounds(qterms, index, bounds).join(theta, "qid", "left").fillna(0, ["theta"])
     essential = prefixed.filter(F.col("prefix_bound") >= F.col("theta")).select("qid", "term")
     candidates = essential.join(postings.select("term", "doc_id"), "term").select("qid", "doc_id").distinct()
     ranked = top_k(full_scores(candidates, qterms, index), k)

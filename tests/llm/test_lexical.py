@@ -83,7 +83,7 @@ def test_maxscore_skips_documents(spark):
     qterms = words.join(vocabulary, "term").select("qid", F.col("tid").alias("term"))
     postings = lexical.impacts(docs, vocabulary)
     bounds = postings.groupBy("term").agg(F.max("impact").alias("ub"))
-    prefixed = lexical.pair_bounds(qterms, postings, bounds).collect()
+    prefixed = lexical.pair_bounds(qterms, lexical.forward(postings), bounds).collect()
     theta = sorted((r["score"] for r in rows), reverse=True)[9]
     names = {r["tid"]: r["term"] for r in vocabulary.collect()}
     essential = [names[r["term"]] for r in prefixed if r["prefix_bound"] >= theta]
