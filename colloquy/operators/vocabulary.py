@@ -89,8 +89,8 @@ def encode_tokens(
 ) -> DataFrame:
     """Replace each token by its id; a token without one gets that of ``unknown``.
 
-    A null array becomes an empty one; a vocabulary without ``unknown`` is an
-    error. The size of the vocabulary decides only how the look-up runs: up to
+    A null array becomes an empty one; a vocabulary without ``unknown``, or with
+    a token more than once, is an error. The size of the vocabulary decides only how the look-up runs: up to
     ``max_shipped`` tokens are sent to the workers and looked up on Arrow arrays; more
     are joined, over row numbers of a written copy of ``df``, with the same result.
     """
@@ -98,6 +98,9 @@ def encode_tokens(
     found = table.filter(F.col("token") == unknown).first()
     if found is None:
         raise ValueError(f"the vocabulary lacks its unknown token {unknown!r}")
+    repeated = table.groupBy("token").count().filter(F.col("count") > 1).head(1)
+    if repeated:  # one answer for either path
+        raise ValueError(f"the vocabulary holds token {repeated[0]['token']!r} more than once")
     shipped_table = table.limit(max_shipped + 1).toArrow()
     if shipped_table.num_rows > max_shipped:
         return _encode_by_join(df, table, column, out, found["id"])

@@ -66,6 +66,10 @@ def test_look_up_is_the_same_at_every_size(spark, vocab, max_shipped):
     lacking = vocab.filter(F.col("token") != "<|endoftext|>")
     with pytest.raises(ValueError, match="lacks its unknown token"):
         vocabulary.encode_tokens(df, lacking, max_shipped=max_shipped)
+    some = vocab.filter(F.col("token") != "<|endoftext|>").first()["token"]
+    repeated = vocab.unionByName(vocab.filter(F.col("token") == some).withColumn("id", F.lit(7)))
+    with pytest.raises(ValueError, match="more than once"):
+        vocabulary.encode_tokens(df, repeated, max_shipped=max_shipped)
 
 
 def test_values_pass_through_generators_and_row_functions(spark):
