@@ -77,6 +77,21 @@ def byte_decoder() -> dict[str, int]:
     return {chr(c): b for b, c in zip(keep, chars)}
 
 
+class Vocabulary:
+    """The bytes of every id of one tokenizer, as one buffer with offsets, for gathers without Python loops."""
+
+    def __init__(self, pieces: list[bytes]):
+        self.lengths = np.array([len(p) for p in pieces], dtype=np.int64)
+        self.starts = np.concatenate([[0], np.cumsum(self.lengths)[:-1]]).astype(np.int64)
+        self.buffer = np.frombuffer(b"".join(pieces), dtype=np.uint8)
+
+    def joined(self, ids: np.ndarray) -> bytes:
+        sizes = self.lengths[ids]
+        total = int(sizes.sum())
+        first = np.repeat(self.starts[ids] - (np.cumsum(sizes) - sizes), sizes)
+        return self.buffer[first + np.arange(total)].tobytes()
+
+
 @lru_cache(maxsize=4)
 def tokenizers_of(a_path: str, b_path: str):
     """Both tokenizers and the bytes of every id, once per worker process."""
@@ -98,38 +113,44 @@ def tokenizers_of(a_path: str, b_path: str):
             b_bytes.append(bytes([int(piece[3:5], 16)]))
         else:
             b_bytes.append(piece.replace(PIECE_SPACE, " ").encode())
-    return a, b, a_bytes, b_bytes
+    return a, b, Vocabulary(a_bytes), Vocabulary(b_bytes)
 
 
-def align(a_ids: np.ndarray, b_ids: np.ndarray, a_bytes, b_bytes, whole: bytes):
-    """``(groups, links)`` of one text, or ``None`` when a side's bytes differ from ``whole``.
+def _digits(ids: np.ndarray) -> np.ndarray:
+    return 1 + sum((ids >= 10**k).astype(np.int64) for k in range(1, 19))
 
-    ``groups``: ``[(a ids, b ids)]`` between consecutive common token ends; ``links``:
-    ``(a ids, b ids)`` arrays, one entry per overlapping occurrence pair. Two tilings of
+
+def align(a_ids: np.ndarray, b_ids: np.ndarray, a_vocab: Vocabulary, b_vocab: Vocabulary, whole: bytes):
+    """``(n_groups, groups text, (a ids, b ids) of the links)`` of one text, or ``None``.
+
+    ``None`` when a side's joined bytes differ from ``whole``. Groups lie between
+    consecutive common token ends; the text is ``a1,a2|b1;a3|b2,b3``. Two tilings of
     the same bytes overlap once per segment between consecutive ends of either side,
     so the links are read off the union of the end offsets.
     """
-    if b"".join(a_bytes[i] for i in a_ids) != whole or b"".join(b_bytes[i] for i in b_ids) != whole:
+    if a_vocab.joined(a_ids) != whole or b_vocab.joined(b_ids) != whole:
         return None
-    a_end = np.cumsum([len(a_bytes[i]) for i in a_ids])
-    b_end = np.cumsum([len(b_bytes[i]) for i in b_ids])
+    a_end, b_end = np.cumsum(a_vocab.lengths[a_ids]), np.cumsum(b_vocab.lengths[b_ids])
     ends = np.union1d(a_end, b_end)
     links = (a_ids[np.searchsorted(a_end, ends)], b_ids[np.searchsorted(b_end, ends)])
     cuts = np.intersect1d(a_end, b_end)
-    a_groups = np.split(a_ids, np.searchsorted(a_end, cuts, side="right")[:-1])
-    b_groups = np.split(b_ids, np.searchsorted(b_end, cuts, side="right")[:-1])
-    return list(zip(a_groups, b_groups)), links
-
-
-def groups_text(groups) -> str:
-    return ";".join(",".join(map(str, a.tolist())) + "|" + ",".join(map(str, b.tolist())) for a, b in groups)
+    # Tokens in text order: each group's A ids, then its B ids.
+    group = np.concatenate([np.searchsorted(cuts, a_end), np.searchsorted(cuts, b_end)])
+    side = np.concatenate([np.zeros(len(a_ids), np.int64), np.ones(len(b_ids), np.int64)])
+    order = np.argsort(group * 2 + side, kind="stable")
+    ids, side = np.concatenate([a_ids, b_ids])[order], side[order]
+    text = np.frombuffer(",".join(map(str, ids.tolist())).encode(), dtype=np.uint8).copy()
+    commas = np.cumsum(_digits(ids) + 1)[:-1] - 1
+    text[commas[(side[:-1] == 0) & (side[1:] == 1)]] = ord("|")
+    text[commas[(side[:-1] == 1) & (side[1:] == 0)]] = ord(";")
+    return len(cuts), text.tobytes(), links
 
 
 SUB_BATCH = 128  # texts encoded at a time: an encoding holds several objects per token
 
 
 def aligned_rows(batch: pd.DataFrame, a_path: str, b_path: str) -> pd.DataFrame:
-    a, b, a_bytes, b_bytes = tokenizers_of(a_path, b_path)
+    a, b, a_vocab, b_vocab = tokenizers_of(a_path, b_path)
     texts = [t if isinstance(t, str) else "" for t in batch["text"]]
     out = {c: [] for c in ("n_a", "n_b", "n_groups", "n_links", "groups_sha256", "keys", "mults")}
     for start in range(0, len(texts), SUB_BATCH):
@@ -137,18 +158,18 @@ def aligned_rows(batch: pd.DataFrame, a_path: str, b_path: str) -> pd.DataFrame:
         a_enc = [np.asarray(e.ids, dtype=np.int64) for e in a.encode_batch([" " + t for t in part], add_special_tokens=False)]
         b_enc = [np.asarray(e, dtype=np.int64) for e in b.encode(part)]
         for text, ea, eb in zip(part, a_enc, b_enc):
-            done = align(ea, eb, a_bytes, b_bytes, (" " + text).encode()) if text else None
+            done = align(ea, eb, a_vocab, b_vocab, (" " + text).encode()) if text else None
             if done is None:
                 for c, v in (("n_a", 0), ("n_b", 0), ("n_groups", 0), ("n_links", 0), ("groups_sha256", ""), ("keys", []), ("mults", [])):
                     out[c].append(v)
                 continue
-            groups, (la, lb) = done
+            n_groups, groups, (la, lb) = done
             keys, mults = np.unique((la << 32) | lb, return_counts=True)
             out["n_a"].append(len(ea))
             out["n_b"].append(len(eb))
-            out["n_groups"].append(len(groups))
+            out["n_groups"].append(n_groups)
             out["n_links"].append(len(la))
-            out["groups_sha256"].append(hashlib.sha256(groups_text(groups).encode()).hexdigest())
+            out["groups_sha256"].append(hashlib.sha256(groups).hexdigest())
             out["keys"].append(keys)
             out["mults"].append(mults.astype(np.int64))
     return pd.DataFrame({"__row": batch["__row"].to_numpy(), "doc_id": batch["doc_id"].to_numpy(), **out})

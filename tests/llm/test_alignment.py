@@ -13,7 +13,9 @@ A, B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piec
 
 def brute_force(rows):
     """Align each text by plain string offsets and count pairs with dicts."""
-    a, b, a_bytes, b_bytes = al.tokenizers_of(A, B)
+    a, b, a_vocab, b_vocab = al.tokenizers_of(A, B)
+    a_bytes = [a_vocab.buffer[s : s + n].tobytes() for s, n in zip(a_vocab.starts, a_vocab.lengths)]
+    b_bytes = [b_vocab.buffer[s : s + n].tobytes() for s, n in zip(b_vocab.starts, b_vocab.lengths)]
     done = []
     for doc_id, text in rows:
         if not text:
