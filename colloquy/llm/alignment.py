@@ -92,6 +92,18 @@ class Vocabulary:
         return self.buffer[first + np.arange(total)].tobytes()
 
 
+@lru_cache(maxsize=4)
+def ranked_encoder(ranks_path: str, pattern: str):
+    """A's vocabulary as merge ranks: the same ids as the tokenizer file, several times faster."""
+    import base64
+
+    import tiktoken
+
+    with open(ranks_path, "rb") as f:
+        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
+    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+
+
 @lru_cache(maxsize=4)
 def tokenizers_of(a_path: str, b_path: str):
     """Both tokenizers and the bytes of every id, once per worker process."""
@@ -149,13 +161,17 @@ def align(a_ids: np.ndarray, b_ids: np.ndarray, a_vocab: Vocabulary, b_vocab: Vo
 SUB_BATCH = 128  # texts encoded at a time: an encoding holds several objects per token
 
 
-def aligned_rows(batch: pd.DataFrame, a_path: str, b_path: str) -> pd.DataFrame:
+def aligned_rows(batch: pd.DataFrame, a_path: str, b_path: str, a_ranks: tuple[str, str] | None = None) -> pd.DataFrame:
     a, b, a_vocab, b_vocab = tokenizers_of(a_path, b_path)
+    ranked = ranked_encoder(*a_ranks) if a_ranks else None
     texts = [t if isinstance(t, str) else "" for t in batch["text"]]
     out = {c: [] for c in ("n_a", "n_b", "n_groups", "n_links", "groups_sha256", "keys", "mults")}
     for start in range(0, len(texts), SUB_BATCH):
         part = texts[start : start + SUB_BATCH]
-        a_enc = [np.asarray(e.ids, dtype=np.int64) for e in a.encode_batch([" " + t for t in part], add_special_tokens=False)]
+        if ranked is not None:
+            a_enc = [np.asarray(e, dtype=np.int64) for e in ranked.encode_ordinary_batch([" " + t for t in part], num_threads=1)]
+        else:
+            a_enc = [np.asarray(e.ids, dtype=np.int64) for e in a.encode_batch([" " + t for t in part], add_special_tokens=False)]
         b_enc = [np.asarray(e, dtype=np.int64) for e in b.encode(part)]
         for text, ea, eb in zip(part, a_enc, b_enc):
             done = align(ea, eb, a_vocab, b_vocab, (" " + text).encode()) if text else None
@@ -258,14 +274,20 @@ def pair_counts(aligned: DataFrame) -> tuple[DataFrame, DataFrame, int, int]:
     return stored(table, "pair_counts"), buckets, n_buckets, n_keys
 
 
-def alignment(docs: DataFrame, a_path: str, b_path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def alignment(
+    docs: DataFrame, a_path: str, b_path: str, doc_id: str = "doc_id", text: str = "text",
+    a_ranks: tuple[str, str] | None = None,
+) -> DataFrame:
     """Per document: ``doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256``.
 
-    See the module for the method and the edge cases.
+    ``a_ranks`` (merge-ranks file of A's vocabulary, split pattern) encodes A with
+    ``tiktoken`` instead of ``tokenizers``: the same ids (tests compare both with the
+    tokenizer file), at a fifth of the CPU time. Token bytes always come from
+    ``a_path``. See the module for the method and the edge cases.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     rows = rows.withColumn("__row", F.monotonically_increasing_id())
-    aligned = stored(rows.mapInPandas(lambda it: (aligned_rows(b, a_path, b_path) for b in it), _ALIGNED), "aligned")
+    aligned = stored(rows.mapInPandas(lambda it: (aligned_rows(b, a_path, b_path, a_ranks) for b in it), _ALIGNED), "aligned")
     table, buckets, n_buckets, n_keys = pair_counts(aligned)
     held = aligned.select("__row", F.explode(F.arrays_zip("keys", "mults")).alias("p")).select(
         "__row", F.col("p.keys").alias("key"), F.col("p.mults").alias("mult")

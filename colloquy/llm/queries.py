@@ -276,6 +276,9 @@ def tokenizer_file(name: str) -> str:
 
 @query
 def op11_cross_tokenizer_alignment(spark, sf_dir):
+    import public_tokenizers
+
     return alignment.alignment(
-        table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model")
+        table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"),
+        a_ranks=(tokenizer_file("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN),
     )

@@ -2,6 +2,7 @@ import bisect
 import hashlib
 
 import public_tokenizers
+import pytest
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
@@ -71,9 +72,13 @@ def brute_force(rows):
 COLUMNS = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
 
 
-def test_alignment_equals_brute_force(spark):
+RANKS = (public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@pytest.mark.parametrize("ranks", [None, RANKS])
+def test_alignment_equals_brute_force(spark, ranks):
     rows = [(r["doc_id"], r["text"]) for r in pq.read_table(f"{SF_DIR}/documents.parquet").to_pylist()]
-    got = al.alignment(spark.read.parquet(f"{SF_DIR}/documents.parquet"), A, B).select(*COLUMNS).collect()
+    got = al.alignment(spark.read.parquet(f"{SF_DIR}/documents.parquet"), A, B, a_ranks=ranks).select(*COLUMNS).collect()
     assert sorted((tuple(r) for r in got), key=lambda r: (r[0] is None, r[0] or 0, r)) == brute_force(rows)
 
 
@@ -83,7 +88,7 @@ def test_nulls_repeats_long_special_and_empty(spark, odd, no_rows):
         "doc_id bigint, text string, n_a string",
     )
     docs = odd.select("doc_id", "text").unionByName(extra.select("doc_id", "text"))
-    got = al.alignment(docs.withColumn("n_a", F.lit("clash")), A, B).select(*COLUMNS).collect()
+    got = al.alignment(docs.withColumn("n_a", F.lit("clash")), A, B, a_ranks=RANKS).select(*COLUMNS).collect()
     want = brute_force([(r["doc_id"], r["text"]) for r in docs.collect()])
     assert sorted((tuple(r) for r in got), key=lambda r: (r[0] is None, r[0] or 0, r)) == want
     assert al.alignment(no_rows, A, B).count() == 0
