@@ -163,17 +163,19 @@ def _blocks(points: DataFrame, requests: DataFrame, k: int) -> DataFrame:
     """Verify ``requests`` (query_id, vec, proj, radius, cell) against the points of their cells."""
     per_cell = points.groupBy("cell").agg(F.count(F.lit(1)).alias("n_points"))
     asked = requests.groupBy("cell").agg(F.count(F.lit(1)).alias("n_queries"))
+    # Block keys are ints on both sides: the two sides of the cogroup must hash them alike.
     sizes = per_cell.join(asked, "cell").select(
-        "cell", F.ceil(F.col("n_points") / BLOCK_ROWS).alias("parts"), F.ceil(F.col("n_queries") / QUERY_BLOCK).alias("chunks")
+        "cell", F.ceil(F.col("n_points") / BLOCK_ROWS).cast("int").alias("parts"),
+        F.ceil(F.col("n_queries") / QUERY_BLOCK).cast("int").alias("chunks"),
     )
     sizes = F.broadcast(sizes)  # one row per cell, at most MAX_LEAVES
     salt = lambda c, n: F.pmod(F.xxhash64(c), F.col(n)).cast("int")
     p = points.join(sizes, "cell").select(
-        "cell", salt("vec_id", "parts").alias("part"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"),
+        "cell", salt("vec_id", "parts").alias("part"), F.explode(F.sequence(F.lit(0), F.col("chunks").cast("int") - 1)).alias("chunk"),
         "vec_id", "vec", "proj",
     )
     q = requests.join(sizes, "cell").select(
-        "cell", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), salt("query_id", "chunks").alias("chunk"),
+        "cell", F.explode(F.sequence(F.lit(0), F.col("parts").cast("int") - 1)).alias("part"), salt("query_id", "chunks").alias("chunk"),
         "query_id", "vec", "proj", "radius",
     )
     keys = ["cell", "part", "chunk"]

@@ -50,11 +50,22 @@ def test_recall_against_brute_force(spark, small_tree):
         assert [s for _, _, s in rs] == sorted(s for _, _, s in rs)
 
 
-def test_exact_on_the_given_table(spark):
+@pytest.mark.parametrize("blocks", [(4096, 512), (40, 2)])
+def test_exact_on_the_given_table(spark, monkeypatch, blocks):
+    """One leaf holds all rows, so the search is exact; small blocks deal it into many block pairs.
+
+    Partitions are not coalesced here, so the two sides of a block must hash their keys alike.
+    """
     from tests.conftest import SF_DIR
 
+    monkeypatch.setattr(nn, "BLOCK_ROWS", blocks[0])
+    monkeypatch.setattr(nn, "QUERY_BLOCK", blocks[1])
     rows = [(r["vec_id"], r["embedding"]) for r in pq.read_table(f"{SF_DIR}/embeddings.parquet").to_pylist()]
-    got = nn.search(spark.read.parquet(f"{SF_DIR}/embeddings.parquet"), lambda v: v % 100 == 0).collect()
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = nn.search(spark.read.parquet(f"{SF_DIR}/embeddings.parquet"), lambda v: v % 100 == 0).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     want = brute_force(rows, lambda v: v % 100 == 0)
     assert sorted((r["query_id"], r["rank"], r["vec_id"]) for r in got) == sorted(
         (q, k + 1, i) for q, w in want.items() for k, (_, i) in enumerate(w)
