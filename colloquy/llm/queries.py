@@ -256,11 +256,11 @@ ORACLE["op13_approximate_nearest_neighbours"] = """
 WITH ok AS (
   SELECT CAST(vec_id AS BIGINT) AS vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
   WHERE embedding IS NOT NULL
-    AND list_bool_and(list_transform(embedding, x -> x IS NOT NULL AND isfinite(x)))
-    AND list_bool_or(list_transform(embedding, x -> x <> 0))),
+    AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+    AND list_bool_or(list_transform(embedding, lambda x: x <> 0))),
 v AS (SELECT * FROM ok WHERE len(e) = (SELECT len(e) FROM ok GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)),
 d AS (
-  SELECT q.vec_id AS query_id, c.vec_id, sqrt(list_sum(list_transform(list_zip(q.e, c.e), p -> (p[1] - p[2]) * (p[1] - p[2])))) AS score
+  SELECT q.vec_id AS query_id, c.vec_id, sqrt(list_sum(list_transform(list_zip(q.e, c.e), lambda p: (p[1] - p[2]) * (p[1] - p[2])))) AS score
   FROM v AS q JOIN v AS c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS rank FROM d)
