@@ -14,7 +14,7 @@ from colloquy.llm.common import stored
 
 DEPTH = 6  # levels of the tree; what lies deeper is one last wildcard
 BRANCHES = 32  # only in the SQL: there a node with more children keeps those with at least their even share
-Z = 3.0  # a branch stays apart when its bad share differs from its siblings' by this many errors
+Z = 3.0  # a branch stays apart when its bad share differs from its sibling's by this many errors
 STRENGTH = 20.0  # labels that the overall purity is worth
 MIN_PURITY = 0.5
 
@@ -60,12 +60,53 @@ def _sums() -> list[Column]:
     return [F.sum(c).alias(c) for c in ("n", "labelled", "bad")]
 
 
+def _alike_groups(children: DataFrame, z: float) -> DataFrame:
+    """``(host, template, child, segment)``: the siblings under every node, alike ones merged.
+
+    The sibling with the most labels leads; all whose bad share is within ``z`` errors of
+    its own join it. The rest go on under a leader of their own until none is left, so a
+    sibling with few labels joins the best known group that it may belong to. A round
+    is one grouped maximum per node and a join, however many children a node has, and
+    there are as many rounds as a node has groups.
+    """
+    keys = ["host", "template"]
+    left, grouped = children.filter(F.col("labelled") > 0).select(*keys, "child", "labelled", "bad"), None
+    while left.head(1):
+        leaders = left.groupBy(*keys).agg(F.max(F.struct("labelled", "bad", "child")).alias("leader"))
+        led = left.join(leaders, keys)
+        n, bad = F.col("leader.labelled"), F.col("leader.bad")
+        gap = F.col("bad") / F.col("labelled") - bad / n
+        share = (F.col("bad") + bad) / (F.col("labelled") + n)
+        differs = gap * gap > z * z * share * (1 - share) * (1 / F.col("labelled") + 1 / n)
+        led = stored(led.withColumn("__differs", differs & (F.col("child") != F.col("leader.child"))), "led")
+        joined = led.filter(~F.col("__differs")).select(*keys, "child", "leader")
+        grouped = joined if grouped is None else grouped.union(joined)
+        left = led.filter("__differs").select(*keys, "child", "labelled", "bad")
+    names = children.select(*keys, "child")
+    if grouped is None:
+        return names.withColumn("segment", F.lit("*"))
+    groups = stored(grouped.groupBy(*keys, "leader").agg(F.count(F.lit(1)).alias("members")), "groups")
+    widest = F.max(F.when(F.col("members") > 1, F.col("leader"))).alias("widest")
+    nodes = groups.groupBy(*keys).agg(F.count(F.lit(1)).alias("groups"), widest)
+    plain = (F.col("groups") == 1) | F.coalesce(F.col("leader") == F.col("widest"), F.lit(False))
+    # No segment is empty, so "/name" below a slash is not the name of any branch.
+    segment = F.when(plain, F.lit("*")).when(F.col("members") == 1, F.col("leader.child"))
+    segment = segment.otherwise(F.concat(F.lit("/"), F.col("leader.child")))
+    called = groups.join(nodes, keys).select(*keys, "leader", segment.alias("segment"))
+    apart = grouped.join(called, [*keys, "leader"]).filter(F.col("segment") != "*").select(*keys, "child", "segment")
+    merged = names.join(apart, [*keys, "child"], "left")
+    return merged.select(*keys, "child", F.coalesce("segment", F.lit("*")).alias("segment"))
+
+
 def templates(pages: DataFrame, depth: int = DEPTH, z: float = Z) -> DataFrame:
     """``(host, shapes, template, n, labelled, bad)`` per distinct shape of path.
 
     ``pages`` has ``host``, ``shapes`` and a nullable boolean ``bad``. From the top
-    of every host's tree down, a segment becomes ``*`` when its labels do not tell it
-    from its siblings together, however many there are. All work is grouped sums over distinct shapes.
+    of every host's tree down, siblings whose labels do not tell them apart are merged,
+    however many there are, and their subtrees with them. Of a node's merged groups the one
+    with the most labelled leader reads ``*``, and so do children without labels and all children if they
+    are one group; another group reads ``/`` and its leader's name, a branch that is alone keeps its own.
+    All work is grouped sums over distinct shapes.
     """
     tree = pages.groupBy("host", "shapes").agg(
         F.count(F.lit(1)).alias("n"), F.count("bad").alias("labelled"), F.count_if("bad").alias("bad")
@@ -78,15 +119,8 @@ def templates(pages: DataFrame, depth: int = DEPTH, z: float = Z) -> DataFrame:
         children = stored(children.groupBy(*keys, "child").agg(*_sums()), "children")
         if not children.head(1):
             break
-        nodes = children.groupBy(*keys).agg(*(F.sum(c).alias(f"__{c}") for c in ("labelled", "bad")))
-        known = children.join(nodes, keys)
-        others = F.col("__labelled") - F.col("labelled")
-        gap = F.try_divide("bad", "labelled") - F.try_divide(F.col("__bad") - F.col("bad"), others)
-        share = F.try_divide("__bad", "__labelled")
-        chance = share * (1 - share) * (F.try_divide(F.lit(1), "labelled") + F.try_divide(F.lit(1), others))
-        differs = (F.col("labelled") > 0) & (others > 0) & (gap * gap > z * z * chance)
-        segment = F.when(~F.coalesce(differs, F.lit(False)), F.lit("*")).otherwise(F.col("child"))
-        named = stored(known.select(*keys, F.col("child").alias("__child"), segment.alias("__segment")), "segments")
+        named = _alike_groups(children, z).withColumnsRenamed({"child": "__child", "segment": "__segment"})
+        named = stored(named, "segments")
         joined = tree.withColumn("__child", step).join(named, [*keys, "__child"], "left")
         longer = F.concat("template", F.lit("/"), F.col("__segment"))
         tree = joined.withColumn("template", F.coalesce(longer, "template")).drop("__child", "__segment")

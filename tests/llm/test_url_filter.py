@@ -67,6 +67,18 @@ def test_a_small_bad_section_among_many_stands_alone(spark):
     assert {r["template"].split("/")[1] for r in got} == {"bc", "*"} and len(got) == len(rows)
 
 
+def test_alike_sections_are_merged_with_each_other(spark):
+    rows, bad_of = [], {"ads": (400, 400), "x": (30, 150), "y": (31, 150), "new": (0, 0)} | {f"s{c}": (0, 50) for c in "abcdefgh"}
+    for name, (bad, n) in bad_of.items():
+        rows += [(len(rows) + k, f"http://h.org/{name}/p", k < bad if n else None) for k in range(n or 5)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, bad boolean")
+    got = u.filter_urls(df, [], F.col("bad")).collect()
+    of = {r["path"].split("/")[1]: r["template"] for r in got}
+    assert of["ads"] == "/ads/*" and of["x"] == of["y"] == of["new"] == "/*/*"  # led by the most labels
+    assert {of[f"s{c}"] for c in "abcdefgh"} == {"//sh/*"} and len(got) == len(rows)
+    assert {r["path"].split("/")[1] for r in got if r["verdict"] == "block"} == {"ads"}
+
+
 def test_odd_rows(spark):
     rows = [(1, "http://a/b", True, "x"), (1, "http://a/b", True, "x"), (None, None, None, None), (2, "http://a/" + "b/" * 5000, False, "y")]
     df = spark.createDataFrame(rows, "page_id bigint, url string, bad boolean, host string")
