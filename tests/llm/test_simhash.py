@@ -1,5 +1,6 @@
 import random
 
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
@@ -113,6 +114,26 @@ def test_crowded_trees_stay_connected(spark):
     assert {r["component_id"] for r in simhash.near_copies(df, shard_rows=100).collect()} == {0}
 
 
+@pytest.mark.parametrize("shard_rows", [40, 2000])
+def test_copies_of_one_original_that_are_no_copies_of_each_other(spark, shard_rows):
+    rng = random.Random(3)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    words = rng.choices(vocabulary, k=500)
+    rows = [(0, " ".join(words))]
+    for i in range(1, 200):
+        changed = list(words)
+        for k, at in enumerate(rng.sample(range(0, 500, 6), 10)):
+            changed[at] = f"c{i}x{k}"
+        rows.append((i, " ".join(changed)))
+    rng.shuffle(rows)
+    sets = {i: {tuple(t.split()[k : k + 5]) for k in range(496)} for i, t in rows}
+    likeness = [len(sets[0] & sets[i]) / len(sets[0] | sets[i]) for i in range(1, 200)]
+    assert min(likeness) >= 0.8 > len(sets[1] & sets[2]) / len(sets[1] | sets[2])
+    df = spark.createDataFrame([(1000 - i, t) for i, t in rows], "doc_id bigint, text string")  # the original comes last
+    got = simhash.near_copies(df, shard_rows=shard_rows).collect()
+    assert len(got) == 200 and {r["component_id"] for r in got} == {801}
+
+
 def test_one_of_each_odd_rows(odd, no_rows):
     kept = simhash.one_of_each(odd)
     assert kept.columns == odd.columns
