@@ -19,14 +19,17 @@ from colloquy.functions.answers import postprocess_response
 Generator = Callable[[Sequence[str]], Sequence[str]]
 Loader = Callable[[], Generator]
 
+CALL_ROWS = 256  # prompts in one call of a generator
+
 
 def batch_generate(
     df: DataFrame, loader: Loader, prompt: str = "prompt", out: str = "full", n: int | None = None,
-    key: str | None = None,
+    key: str | None = None, call_rows: int = CALL_ROWS,
 ) -> DataFrame:
     """Add the generator's text for every prompt, or for the first ``n`` by ``key``.
 
-    Only the prompts become Python values; the other columns pass through as they are.
+    Only the prompts become Python values, ``call_rows`` at a time, which is also the most that
+    one call of the generator gets; the other columns pass through as they are.
     """
     if n is not None:
         if key is None:
@@ -39,10 +42,12 @@ def batch_generate(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         generate = loader()
         for batch in batches:
-            texts = list(generate(batch.column(at).to_pylist()))
-            if len(texts) != batch.num_rows:
-                raise ValueError(f"generator returned {len(texts)} texts for {batch.num_rows} prompts")
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=schema.names)
+            for start in range(0, batch.num_rows, call_rows):
+                part = batch.slice(start, call_rows)
+                texts = list(generate(part.column(at).to_pylist()))
+                if len(texts) != part.num_rows:
+                    raise ValueError(f"generator returned {len(texts)} texts for {part.num_rows} prompts")
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=schema.names)
 
     return df.mapInArrow(run, schema)
 

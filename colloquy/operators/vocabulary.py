@@ -8,7 +8,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -25,6 +24,7 @@ from colloquy.session import cut_lineage
 # A vocabulary up to this many tokens is sent to the workers; a larger one is joined, with equal results.
 MAX_SHIPPED_TOKENS = 500_000
 _JOIN_SALTS = 16
+_SLICE_ROWS = 1024  # rows looked up at a time in the other
 
 
 def count_tokens(df: DataFrame, column: str = "text", specials: Sequence[str] = SPECIALS) -> DataFrame:
@@ -104,22 +104,24 @@ def encode_tokens(
     shipped_table = table.limit(max_shipped + 1).toArrow()
     if shipped_table.num_rows > max_shipped:
         return _encode_by_join(df, table, column, out, found["id"])
-    # The index builds its hash table once per worker process.
-    index = pd.Index(shipped_table["token"].to_numpy())
-    shipped = df.sparkSession.sparkContext.broadcast((index, shipped_table["id"].to_numpy(), found["id"]))
+    shipped = df.sparkSession.sparkContext.broadcast((shipped_table["token"], shipped_table["id"], found["id"]))
 
     @F.arrow_udf("array<int>")
     def look_up(batch: pa.Array) -> pa.Array:
-        known, ids, unknown_id = shipped.value
-        at = known.get_indexer(batch.flatten().to_numpy(zero_copy_only=False))
-        values = pa.array(np.where(at >= 0, ids[at], unknown_id).astype("int32"))
-        sizes = pc.fill_null(pc.list_value_length(batch), 0).to_numpy(zero_copy_only=False)
-        offsets = np.concatenate([[0], np.cumsum(sizes)]).astype("int32")
-        return pa.ListArray.from_arrays(pa.array(offsets), values)
+        parts = [_ids(batch.slice(at, _SLICE_ROWS), *shipped.value) for at in range(0, len(batch), _SLICE_ROWS)]
+        return pa.concat_arrays(parts or [pa.array([], pa.list_(pa.int32()))])
 
     return df.withColumn(out, look_up(column))
 
 
+def _ids(tokens: pa.Array, known: pa.ChunkedArray, ids: pa.ChunkedArray, unknown_id: int) -> pa.ListArray:
+    """The ids of an array of token lists, all in Arrow: no token becomes a Python string."""
+    at = pc.index_in(tokens.flatten(), value_set=known.combine_chunks())
+    values = pc.fill_null(ids.combine_chunks().cast(pa.int32()).take(at), pa.scalar(unknown_id, pa.int32()))
+    sizes = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False)
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), values)
+
+
 def _encode_by_join(df: DataFrame, table: DataFrame, column: str, out: str, unknown_id: int) -> DataFrame:
     numbered = cut_lineage(df.withColumn("__row", F.monotonically_increasing_id()))
     salts = F.explode(F.sequence(F.lit(0), F.lit(_JOIN_SALTS - 1))).alias("__salt")

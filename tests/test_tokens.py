@@ -157,6 +157,36 @@ def test_generator_must_answer_every_prompt(spark):
         generation.batch_generate(df, lambda: lambda batch: []).collect()
 
 
+def test_a_call_gets_a_bounded_number_of_prompts(spark):
+    def loader():
+        def generate(batch):
+            assert len(batch) <= 100
+            return [p + "!" for p in batch]
+
+        return generate
+
+    df = spark.range(0, 1050, 1, 2).select("id", F.col("id").cast("string").alias("prompt"))
+    got = generation.batch_generate(df, loader, call_rows=100).collect()
+    assert sorted((r["id"], r["full"]) for r in got) == [(i, f"{i}!") for i in range(1050)]
+    assert generation.CALL_ROWS <= 1000
+
+
+def test_look_up_makes_no_python_strings(vocab):
+    import tracemalloc
+
+    import pyarrow as pa
+
+    table = vocab.toArrow()
+    tokens = pa.array([["the", None, " cat", "zzz"] * 500] * 200 + [None, []], pa.list_(pa.string()))
+    tracemalloc.start()
+    ids = vocabulary._ids(tokens, table["token"], table["id"], 99)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1_000_000 and ids[-1].as_py() == ids[-2].as_py() == []
+    known = {r["token"]: r["id"] for r in vocab.collect()}
+    assert ids[7].as_py()[:4] == [known.get(t, 99) for t in ("the", None, " cat", "zzz")]
+
+
 def test_loader_runs_on_the_worker_once_per_task(spark, tmp_path):
     log = str(tmp_path / "loads")
 
