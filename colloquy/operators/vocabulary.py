@@ -13,6 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 from colloquy.constants import BLOCK_SIZE, EOS, SPECIALS
 from colloquy.functions.dialogue import dialogue_to_text
@@ -24,6 +25,7 @@ from colloquy.session import cut_lineage
 # A vocabulary up to this many tokens is sent to the workers; a larger one is joined, with equal results.
 MAX_SHIPPED_TOKENS = 500_000
 _JOIN_SALTS = 16
+_BLOCK_ROWS = 256  # rows that share one look-up in the joined path
 _SLICE_ROWS = 1024  # rows looked up at a time in the other
 
 
@@ -123,16 +125,24 @@ def _ids(tokens: pa.Array, known: pa.ChunkedArray, ids: pa.ChunkedArray, unknown
 
 
 def _encode_by_join(df: DataFrame, table: DataFrame, column: str, out: str, unknown_id: int) -> DataFrame:
+    """Only the distinct tokens of every block of rows are joined; the blocks look theirs up in what they get back."""
     numbered = cut_lineage(df.withColumn("__row", F.monotonically_increasing_id()))
     salts = F.explode(F.sequence(F.lit(0), F.lit(_JOIN_SALTS - 1))).alias("__salt")
     words = table.select(F.col("token").alias("__token"), F.col("id").alias("__id"), salts)
-    places = numbered.select("__row", F.posexplode_outer(column).alias("__pos", "__token")).withColumn(
-        "__salt", F.pmod(F.col("__pos"), F.lit(_JOIN_SALTS))
+    rows = numbered.select(
+        F.floor(F.col("__row") / _BLOCK_ROWS).alias("__block"), "__row", F.col(column).alias("__tokens")
     )
-    found = places.join(words, ["__token", "__salt"], "left").withColumn("__id", F.coalesce("__id", F.lit(unknown_id)))
-    pairs = F.array_sort(F.collect_list(F.when(F.col("__pos").isNotNull(), F.struct("__pos", "__id"))))
-    rows = found.groupBy("__row").agg(F.transform(pairs, lambda p: p["__id"]).alias(out))
-    return numbered.join(rows, "__row").drop("__row")
+    used = rows.select("__block", F.explode("__tokens").alias("__token")).distinct()
+    used = used.withColumn("__salt", F.pmod("__block", F.lit(_JOIN_SALTS)).cast("int"))
+    found = used.join(words, ["__token", "__salt"]).select(F.col("__block").alias("__of"), "__token", "__id")
+
+    def look_up(block: pa.Table, known: pa.Table) -> pa.Table:
+        ids = _ids(block["__tokens"].combine_chunks(), known["__token"], known["__id"], unknown_id)
+        return pa.table([block["__row"], ids], names=["__row", out])
+
+    schema = StructType([StructField("__row", LongType()), StructField(out, ArrayType(IntegerType()))])
+    encoded = rows.groupBy("__block").cogroup(found.groupBy("__of")).applyInArrow(look_up, schema)
+    return numbered.join(encoded, "__row").drop("__row")
 
 
 def tokenize(

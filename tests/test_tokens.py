@@ -187,6 +187,16 @@ def test_look_up_makes_no_python_strings(vocab):
     assert ids[7].as_py()[:4] == [known.get(t, 99) for t in ("the", None, " cat", "zzz")]
 
 
+def test_joined_look_up_moves_tokens_once_a_block(spark, vocab):
+    token, known = vocab.filter(F.col("id") == 1).select("token", "id").first()
+    df = spark.range(0, 3000, 1, 2).select("id", F.array_repeat(F.lit(token), 200).alias("tokens"))
+    encoded = vocabulary.encode_tokens(df, vocab, max_shipped=2)
+    plan = encoded._jdf.queryExecution().optimizedPlan().toString()
+    assert "posexplode" not in plan and "collect_list" not in plan
+    rows = encoded.select("id", "input_ids").collect()
+    assert sorted(r["id"] for r in rows) == list(range(3000)) and all(r["input_ids"] == [known] * 200 for r in rows)
+
+
 def test_loader_runs_on_the_worker_once_per_task(spark, tmp_path):
     log = str(tmp_path / "loads")
 
