@@ -40,6 +40,10 @@ class Pieces:
         self.log_p = log_p
         self.p = {piece: math.exp(p) for piece, p in log_p.items()}
         self.longest = max((len(p) for p in log_p if not p.startswith("<0x")), default=1)
+        # Probability of every piece that a text can hold, 0 for what only begins one.
+        self.begun = {p[:n]: 0.0 for p in log_p if len(p) <= self.longest for n in range(1, len(p))}
+        self.begun.update((p, q) for p, q in self.p.items() if len(p) <= self.longest)
+        self.letters: dict[str, float] = {}  # spelled so far
 
     @classmethod
     def from_model(cls, path: str) -> Pieces:
@@ -67,19 +71,40 @@ class Pieces:
     def _spelled(self, letter: str) -> list[str]:
         return [f"<0x{b:02X}>" for b in letter.encode("utf-8", "surrogatepass")]
 
+    def _letter(self, letter: str) -> float:
+        """Probability of a letter that is no piece."""
+        p = self.letters.get(letter)
+        if p is None:
+            p = self.letters[letter] = math.exp(sum(self.log_p[b] for b in self._spelled(letter)))
+        return p
+
     def log_probability(self, word: str) -> float:
-        """Log of the summed probability of all segmentations (forward recursion)."""
-        text, get, longest = WORD_START + word, self.log_p.get, self.longest
+        """Log of the summed probability of all segmentations (forward recursion).
+
+        Sums of plain probabilities; logs for words whose sums come near the end of floating point.
+        """
+        text, get = WORD_START + word, self.begun.get
+        n = len(text)
+        alpha = [1.0] + [0.0] * n
+        for start in range(n):
+            own = alpha[start]
+            if own < PLAIN:
+                return self._log_probability(text)
+            if not get(text[start]):
+                alpha[start + 1] += own * self._letter(text[start])
+            for end in range(start + 1, n + 1):
+                p = get(text[start:end])
+                if p:
+                    alpha[end] += own * p
+                elif p is None:
+                    break
+        return math.log(alpha[n]) if alpha[n] >= PLAIN else self._log_probability(text)
+
+    def _log_probability(self, text: str) -> float:
         exp, log = math.exp, math.log
         alpha = [0.0]
         for end in range(1, len(text) + 1):
-            terms = []
-            for start in range(max(0, end - longest), end):
-                p = get(text[start:end])
-                if p is not None:
-                    terms.append(alpha[start] + p)
-            if text[end - 1] not in self.log_p:
-                terms.append(alpha[end - 1] + sum(self.log_p[b] for b in self._spelled(text[end - 1])))
+            terms = [alpha[start] + p for start, _, p in self._arcs(text, end)]
             top = max(terms)
             alpha.append(top + log(sum([exp(t - top) for t in terms])) if len(terms) > 1 else top)
         return alpha[-1]
@@ -95,35 +120,38 @@ class Pieces:
 
     def _expected(self, word: str, times: float, into: dict[str, float]) -> bool:
         """False, and nothing added, when a forward sum is below ``PLAIN``."""
-        text, get, longest = WORD_START + word, self.p.get, self.longest
+        text, get = WORD_START + word, self.begun.get
         n = len(text)
         alpha, arcs = [1.0] + [0.0] * n, []
-        for end in range(1, n + 1):
-            total = 0.0
-            for start in range(max(0, end - longest), end):
+        for start in range(n):
+            own = alpha[start]
+            if own < PLAIN:
+                return False
+            if not get(text[start]):
+                p = self._letter(text[start])
+                alpha[start + 1] += own * p
+                arcs.append((start, start + 1, "", p))
+            for end in range(start + 1, n + 1):
                 piece = text[start:end]
                 p = get(piece)
-                if p is not None:
-                    p *= alpha[start]
-                    total += p
+                if p:
+                    alpha[end] += own * p
                     arcs.append((start, end, piece, p))
-            if text[end - 1] not in self.p:
-                p = math.exp(sum(self.log_p[b] for b in self._spelled(text[end - 1]))) * alpha[end - 1]
-                total += p
-                arcs.append((end - 1, end, "", p))
-            if total < PLAIN:
-                return False
-            alpha[end] = total
+                elif p is None:
+                    break
+        if alpha[n] < PLAIN:
+            return False
         # An arc's share of all paths: the paths to it, itself, and those behind it.
         behind = [0.0] * n + [times / alpha[n]]
         for start, end, piece, p in reversed(arcs):
-            share = p * behind[end]
-            behind[start] += share / alpha[start]
-            if piece:
-                into[piece] = into.get(piece, 0.0) + share
+            p *= behind[end]
+            behind[start] += p
+            p *= alpha[start]
+            if piece in into:
+                into[piece] += p
             else:
-                for used in self._spelled(text[end - 1]):
-                    into[used] = into.get(used, 0.0) + share
+                for used in [piece] if piece else self._spelled(text[start]):
+                    into[used] = into.get(used, 0.0) + p
         return True
 
     def _arcs(self, text: str, end: int) -> list[tuple[int, str, float]]:
@@ -261,7 +289,9 @@ def score_documents(
     scored = stored(scored, "word-scores")
     known = scored.filter(F.col("seen") >= _frequent_from(scored, frequent)).select("word", "trained", "lattice")
     scale = total + distinct + 1
-    table = {bytes(r["word"]): (r["trained"], r["lattice"]) for r in known.toLocalIterator()}
+    table = {
+        bytes(r["word"]): (math.log10((r["trained"] + 1) / scale), r["lattice"], r["trained"] > 0) for r in known.toLocalIterator()
+    }
     shared = docs.sparkSession.sparkContext.broadcast(table)
     end_base = math.log10(((texts if texts else 0) + 1) / scale)
     end_score = pieces.log_p[END] / math.log(10)
@@ -274,7 +304,6 @@ def score_documents(
 
         table = shared.value
         number = TaskContext.get().partitionId() << 40
-        log10 = math.log10
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -285,9 +314,9 @@ def score_documents(
                     if found is None:
                         rows.append((number, None, None, None, None, None, None, word, times))
                     else:
-                        base += times * log10((found[0] + 1) / scale)
+                        base += times * found[0]
                         score += times * found[1]
-                        n_known += times if found[0] else 0
+                        n_known += times if found[2] else 0
                 rows.append(
                     (number, doc_id, int(is_held_out(doc_id)), sum(counts.values()) + 1, n_known, base, score, None, None)
                 )

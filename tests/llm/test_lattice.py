@@ -1,5 +1,6 @@
 import math
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -114,3 +115,11 @@ def test_odd_rows(odd, no_rows):
     assert len(rows) == 9 and sorted(r["n_tokens"] for r in rows)[:3] == [1, 1, 1]
     assert len({r["score"] for r in rows if r["n_tokens"] == 1}) == 1
     assert lattice.score_documents(no_rows, piece_model()).count() == 0
+
+
+def test_a_long_piece_does_not_make_every_word_slow():
+    pieces = lattice.Pieces.normalized({lattice.END: 1.0, lattice.WORD_START: 1e9, "b": 1e12, "a" * 3000: 1.0})
+    began, used = time.process_time(), {}
+    pieces.expected("b" * 6000, 2.0, used)
+    assert used["b"] == pytest.approx(12_000) and math.isfinite(pieces.log_probability("b" * 6000))
+    assert time.process_time() - began < 1
