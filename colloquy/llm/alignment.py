@@ -128,8 +128,10 @@ def tokenizers_of(a_path: str, b_path: str):
     return a, b, Vocabulary(a_bytes), Vocabulary(b_bytes)
 
 
-def _digits(ids: np.ndarray) -> np.ndarray:
-    return 1 + sum((ids >= 10**k).astype(np.int64) for k in range(1, 19))
+@lru_cache(maxsize=4)
+def _numerals(n: int) -> Vocabulary:
+    """The decimal numerals of the ids below ``n``, each with a comma behind it."""
+    return Vocabulary([b"%d," % i for i in range(n)])
 
 
 def align(a_ids: np.ndarray, b_ids: np.ndarray, a_vocab: Vocabulary, b_vocab: Vocabulary, whole: bytes):
@@ -143,18 +145,23 @@ def align(a_ids: np.ndarray, b_ids: np.ndarray, a_vocab: Vocabulary, b_vocab: Vo
     if a_vocab.joined(a_ids) != whole or b_vocab.joined(b_ids) != whole:
         return None
     a_end, b_end = np.cumsum(a_vocab.lengths[a_ids]), np.cumsum(b_vocab.lengths[b_ids])
-    ends = np.union1d(a_end, b_end)
+    mark = np.zeros(len(whole) + 1, dtype=np.uint8)
+    mark[a_end] = 1
+    mark[b_end] |= 2
+    ends, cuts = np.flatnonzero(mark), np.flatnonzero(mark == 3)
     links = (a_ids[np.searchsorted(a_end, ends)], b_ids[np.searchsorted(b_end, ends)])
-    cuts = np.intersect1d(a_end, b_end)
     # Tokens in text order: each group's A ids, then its B ids.
-    group = np.concatenate([np.searchsorted(cuts, a_end), np.searchsorted(cuts, b_end)])
-    side = np.concatenate([np.zeros(len(a_ids), np.int64), np.ones(len(b_ids), np.int64)])
-    order = np.argsort(group * 2 + side, kind="stable")
-    ids, side = np.concatenate([a_ids, b_ids])[order], side[order]
-    text = np.frombuffer(",".join(map(str, ids.tolist())).encode(), dtype=np.uint8).copy()
-    commas = np.cumsum(_digits(ids) + 1)[:-1] - 1
-    text[commas[(side[:-1] == 0) & (side[1:] == 1)]] = ord("|")
-    text[commas[(side[:-1] == 1) & (side[1:] == 0)]] = ord(";")
+    a_group, b_group = np.searchsorted(cuts, a_end), np.searchsorted(cuts, b_end)
+    a_at = np.arange(len(a_ids)) + np.searchsorted(b_group, a_group)
+    b_at = np.arange(len(b_ids)) + np.searchsorted(a_group, b_group, side="right")
+    ids = np.empty(len(a_ids) + len(b_ids), dtype=np.int64)
+    side = np.zeros(len(ids), dtype=bool)
+    ids[a_at], ids[b_at], side[b_at] = a_ids, b_ids, True
+    numerals = _numerals(max(len(a_vocab.lengths), len(b_vocab.lengths)))
+    text = np.frombuffer(numerals.joined(ids), dtype=np.uint8)[:-1].copy()
+    commas = np.cumsum(numerals.lengths[ids])[:-1] - 1
+    text[commas[~side[:-1] & side[1:]]] = ord("|")
+    text[commas[side[:-1] & ~side[1:]]] = ord(";")
     return len(cuts), text.tobytes(), links
 
 
@@ -172,7 +179,7 @@ def aligned_rows(batch: pd.DataFrame, a_path: str, b_path: str, a_ranks: tuple[s
             a_enc = [np.asarray(e, dtype=np.int64) for e in ranked.encode_ordinary_batch([" " + t for t in part], num_threads=1)]
         else:
             a_enc = [np.asarray(e.ids, dtype=np.int64) for e in a.encode_batch([" " + t for t in part], add_special_tokens=False)]
-        b_enc = [np.asarray(e, dtype=np.int64) for e in b.encode(part)]
+        b_enc = [np.asarray(e, dtype=np.int64) for e in b.encode(part, num_threads=1)]
         for text, ea, eb in zip(part, a_enc, b_enc):
             done = align(ea, eb, a_vocab, b_vocab, (" " + text).encode()) if text else None
             if done is None:

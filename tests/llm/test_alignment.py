@@ -1,6 +1,8 @@
 import bisect
 import hashlib
+import time
 
+import numpy as np
 import public_tokenizers
 import pytest
 import pyarrow.parquet as pq
@@ -99,3 +101,31 @@ def test_perfect_hash_is_one_to_one(spark):
     buckets, n_buckets, n_keys = al.perfect_hash(keys)
     slots = [r["slot"] for r in al.with_slot(keys, buckets, n_buckets, n_keys).collect()]
     assert sorted(slots) == list(range(5000))
+
+
+def test_alignment_of_a_long_text_costs_little_more_than_its_numerals():
+    rng = np.random.default_rng(4)
+    vocab = al.Vocabulary([b"x" * n for n in (1, 2, 3, 4)] * 10_000)
+    a, b = (rng.integers(0, 40_000, 400_000) for _ in range(2))
+    total = min(int(vocab.lengths[i].sum()) for i in (a, b))
+    a, b = (np.append(i[: np.searchsorted(np.cumsum(vocab.lengths[i]), total)], 0) for i in (a, b))
+    short = [total - int(vocab.lengths[i].sum()) for i in (a, b)]
+    a, b = (np.append(i, [0] * n) if n > 0 else i for i, n in zip((a, b), short))
+    whole = b"x" * max(int(vocab.lengths[i].sum()) for i in (a, b))
+    a, b = (np.append(i, [0] * (len(whole) - int(vocab.lengths[i].sum()))).astype(np.int64) for i in (a, b))
+    al.align(a[:0], b[:0], vocab, vocab, b"")  # builds the numerals
+    times = {}
+    for name, call in (("numerals", lambda: ",".join(map(str, [*a.tolist(), *b.tolist()]))), ("align", lambda: al.align(a, b, vocab, vocab, whole))):
+        best = []
+        for _ in range(5):
+            began = time.process_time()
+            done = call()
+            best.append(time.process_time() - began)
+        times[name] = min(best)
+    n_groups, text, (la, lb) = done
+    ends = [set(np.cumsum(vocab.lengths[i]).tolist()) for i in (a, b)]
+    assert n_groups == len(ends[0] & ends[1]) and len(la) == len(lb) == len(ends[0] | ends[1])
+    assert [int(i) for g in text.decode().split(";") for i in g.split("|")[0].split(",")] == a.tolist()
+    assert [int(i) for g in text.decode().split(";") for i in g.split("|")[1].split(",")] == b.tolist()
+    print(times)
+    assert times["align"] < 2 * times["numerals"]
