@@ -45,6 +45,7 @@ from colloquy.llm.common import stored
 # Fixed values of the scoring contract.
 TERM_PATTERN = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+SEPARATORS = "".join(c for c in map(chr, range(128)) if not c.isalnum())  # what TERM_PATTERN leaves out
 K1_MILLI, B_PERCENT = 1000, 90  # k1 = 1.0 and b = 0.9 in integer units
 TOP = 10
 
@@ -54,7 +55,8 @@ MAX_BROADCAST_TERMS = 2_000_000
 
 def terms(text: Column) -> Column:
     """All terms of a text with repeats; a null text has none."""
-    return F.coalesce(F.regexp_extract_all(F.translate(text, UPPER, LOWER), F.lit(f"({TERM_PATTERN})"), 1), F.array())
+    spaced = F.translate(text, UPPER + SEPARATORS, LOWER + " " * len(SEPARATORS))
+    return F.coalesce(F.array_remove(F.split(spaced, " "), ""), F.array())
 
 
 def _small(df: DataFrame, rows: int) -> DataFrame:
@@ -84,8 +86,9 @@ def impacts(docs: DataFrame, vocabulary: DataFrame, doc_id: str = "doc_id", text
     carries its length, so term counts and lengths come from one aggregate,
     written to the scratch folder.
     """
-    split = docs.select(F.col(doc_id).alias("doc_id"), terms(F.col(text)).alias("__terms"))
-    split = split.withColumn("__n", F.size("__terms").cast("long")).filter(F.col("__n") > 0)
+    some = docs.filter(F.col(text).rlike(TERM_PATTERN))  # a filter on the terms would split every text a second time
+    split = some.select(F.col(doc_id).alias("doc_id"), terms(F.col(text)).alias("__terms"))
+    split = split.withColumn("__n", F.size("__terms").cast("long"))
     occurrences = split.select(
         "doc_id", "__n", F.explode(F.concat("__terms", F.array(F.lit(None).cast("string")))).alias("term")
     )
@@ -154,13 +157,16 @@ def full_scores(candidates: DataFrame, qterms: DataFrame, index: DataFrame) -> D
     """``(qid, doc_id, score)`` for candidate ``(qid, doc_id)`` pairs: the query's terms looked up in the document's map."""
     wanted = qterms.groupBy("qid").agg(F.collect_set("term").alias("__terms"))  # one small row per query
     scored = candidates.join(F.broadcast(wanted), "qid").join(index, "doc_id")
-    found = F.transform("__terms", lambda t: F.coalesce(F.element_at("impacts", t), F.lit(0).cast("long")))
+    # A look-up reads a map from its start, so only the terms that the document holds are looked up.
+    found = F.transform(F.array_intersect(F.map_keys("impacts"), F.col("__terms")), lambda t: F.element_at("impacts", t))
     return scored.select("qid", "doc_id", F.aggregate(found, F.lit(0).cast("long"), lambda a, b: a + b).alias("score"))
 
 
 def top_k(scores: DataFrame, k: int = TOP) -> DataFrame:
     order = W.partitionBy("qid").orderBy(F.desc("score"), "doc_id")
-    return scores.filter(F.col("score") > 0).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    # Scores of 0 come last; a filter on the score before the window would compute every score twice.
+    ranked = scores.withColumn("rank", F.row_number().over(order))
+    return ranked.filter((F.col("rank") <= k) & (F.col("score") > 0))
 
 
 def search(

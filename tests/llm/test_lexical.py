@@ -88,3 +88,20 @@ def test_maxscore_skips_documents(spark):
     names = {r["tid"]: r["term"] for r in vocabulary.collect()}
     essential = [names[r["term"]] for r in prefixed if r["prefix_bound"] >= theta]
     assert essential == ["rare"]
+
+
+def test_terms_are_the_matches_of_the_pattern(apply):
+    texts = ["".join(map(chr, range(256))), "aB\x00cÉ\x7fd e\U0001F600f", "", "...", None, " a  b ", "x\\y'z\"0"]
+    upper, lower = lexical.UPPER, lexical.LOWER
+    want = [re.findall(lexical.TERM_PATTERN, (t or "").translate(str.maketrans(upper, lower))) for t in texts]
+    assert apply(lexical.terms, texts) == want
+
+
+def test_a_score_is_computed_once(spark):
+    index = spark.createDataFrame([(1, {1: 5, 2: 7}), (2, {3: 1})], "doc_id bigint, impacts map<int, bigint>")
+    qterms = spark.createDataFrame([(9, 1), (9, 2), (9, 4)], "qid bigint, term int")
+    pairs = spark.createDataFrame([(9, 1), (9, 2)], "qid bigint, doc_id bigint")
+    got = lexical.top_k(lexical.full_scores(pairs, qterms, index))
+    assert [(r["doc_id"], r["score"], r["rank"]) for r in got.collect()] == [(1, 12, 1)]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("aggregate(") == 1
