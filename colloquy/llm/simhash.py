@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from colloquy.llm.common import components, stored
+from colloquy.llm.common import FILTER_BITS, components, id_filter, in_filter, numbered, stored
 
 SEED = 42
 BITS = 64
@@ -19,6 +19,7 @@ DENSE_SHARD = 2_000  # the same for a large radius, where a search visits most o
 LEADERS = 64  # documents that every part of an oversized shard has in common
 SKETCH = 128
 TABLES = 8
+BANDS, BAND = 16, 2  # pieces of a sketch by which an oversized shard is split, and their bytes
 
 
 def shingle_hashes(words: list[bytes], n: int) -> np.ndarray:
@@ -125,54 +126,76 @@ def _links(rows: DataFrame, radius: int) -> DataFrame:
     return dealt.mapInArrow(_tree_links(radius), "a bigint, b bigint").distinct()
 
 
-def _copy_search(radius: int, similar: float, wide: int):
-    """For rows sorted by shard and turn: candidates ``(a, b, shard)`` that connect what may be connected.
+def _copy_search(radius: int, similar: float, similarity: float | None = None):
+    """For rows sorted by shard and turn ``(shard, turn, id, fp, sketch, root)``: what may be copies, or is.
 
     A row of turn 0 is only put into the tree, of turn 1 only looked up, of turn 2 both.
-    Candidates share ``similar`` of their sketch bytes (corrected for chance), have
-    different roots and are not among each other's ``failed`` partners. Of the partners in one
-    tree of the forest only the ``wide`` most similar ones are named.
+    Candidates lie within ``radius`` bits, share ``similar`` of their sketch bytes (corrected for
+    chance) and have different roots. Without ``similarity`` the rows ``(shard, turn, id)`` that have or are a candidate
+    come back. With it, rows also hold their distinct shingles, sorted; candidates are compared on these, and
+    the links ``(a, b)`` that connect whatever is connected come back.
     """
 
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, tree, forest, ids, sketches, roots, first = None, BKTree(), _Forest(), [], [], [], {}
+    def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[list]:
+        rows: list = []
         for batch in batches:
-            a, b, s = [], [], []
-            for key, turn, doc, value, sketch, root, failed in zip(*(c.to_pylist() for c in batch.columns)):
-                if key != shard:
-                    shard, tree, forest, ids, sketches, roots, first = key, BKTree(), _Forest(), [], [], [], {}
+            columns = [c.to_pylist() for c in batch.columns[:6]]
+            own = batch.columns[6] if similarity is not None else None
+            for i, row in enumerate(zip(*columns)):
+                if rows and row[0] != rows[0][0]:
+                    yield rows
+                    rows = []
+                rows.append((*row, own[i].values.to_numpy() if own is not None else None))
+        if rows:
+            yield rows
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in shards(batches):
+            tree, forest, first = BKTree(), _Forest(), {}
+            roots = np.array([row[5] for row in rows], dtype=np.int64)
+            sketches = np.stack([np.frombuffer(row[4], dtype=np.uint8) for row in rows])
+            named = np.zeros(len(rows), dtype=bool)
+            links = []
+            for here, (_, turn, doc, value, _, root, own) in enumerate(rows):
                 value &= (1 << BITS) - 1
-                own = np.frombuffer(sketch, dtype=np.uint8)
-                here = len(ids)
                 forest.up.append(here)
                 forest.joins(first.setdefault(root, here), here)
-                near = tree.within(value, radius) if turn else []
-                near = [i for i in near if roots[i] != root]
-                if failed:
-                    gone = set(failed)
-                    near = [i for i in near if ids[i] not in gone]
-                if near:
-                    same = (np.stack([sketches[i] for i in near]) == own).mean(axis=1)
+                near = np.array(tree.within(value, radius) if turn else [], dtype=np.int64)
+                near = near[roots[near] != root]
+                if len(near):
+                    same = (sketches[near] == sketches[here]).mean(axis=1)
                     likeness = (same - 1 / 256) / (1 - 1 / 256)
-                    near = [near[i] for i in np.argsort(-likeness, kind="stable") if likeness[i] >= similar]
-                named = 0
-                for other in near:
-                    if forest.joins(here, other) or named < wide:
-                        named += 1
-                        a.append(min(ids[other], doc))
-                        b.append(max(ids[other], doc))
-                        s.append(key)
-                if turn != 1:  # rows of turn 1 come last, so places in the tree and in the lists agree
+                    near = near[likeness >= similar]
+                if len(near) and similarity is None:
+                    named[near] = named[here] = True
+                elif len(near):
+                    apart = [i for i in near.tolist() if forest.top(i) != forest.top(here) and len(rows[i][6])]
+                    for other in _alike(own, apart, rows, similarity) if apart and len(own) else []:
+                        if forest.joins(here, other):
+                            links.append((min(rows[other][2], doc), max(rows[other][2], doc)))
+                if turn != 1:  # rows of turn 1 come last, so places in the tree and among the rows agree
                     tree.add(value)
-                ids.append(doc)
-                sketches.append(own)
-                roots.append(root)
-            columns = [pa.array(c, pa.int64()) for c in (a, b, s)]
-            yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "shard"])
+            if similarity is None:
+                found = [rows[i][:3] for i in np.flatnonzero(named).tolist()]
+                names, types = ["shard", "turn", "id"], [pa.int64(), pa.int32(), pa.int64()]
+            else:
+                found, names, types = links, ["a", "b"], [pa.int64()] * 2
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found), types)], names=names)
 
     return search
 
 
+def _alike(own: np.ndarray, others: list[int], rows: list, similarity: float) -> list[int]:
+    """Those of ``others`` (places in ``rows``) that share ``similarity`` of their distinct shingles with ``own``."""
+    sets = [rows[i][6] for i in others]
+    sizes = np.array([len(x) for x in sets])
+    each = np.concatenate(sets)
+    hits = own[np.minimum(np.searchsorted(own, each), len(own) - 1)] == each
+    shared = np.add.reduceat(hits.astype(np.int64), np.r_[0, np.cumsum(sizes)[:-1]])
+    return np.array(others)[shared >= similarity * (len(own) + sizes - shared)].tolist()
+
+
 def _sub_shards(rows: DataFrame, width: int, parts: int, level: int) -> tuple[DataFrame, int]:
     """Deal every row to ``parts`` shards, one per block of its remaining bits.
 
@@ -303,82 +326,89 @@ def signatures(docs: DataFrame, shingle: int = 3, wide_shingle: int = 5, tables:
     return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(compute, schema)
 
 
-def _verified(docs: DataFrame, links: DataFrame, similarity: float, wide_shingle: int) -> DataFrame:
-    """The links whose texts share ``similarity`` of their distinct shingles."""
+def _shingle_sets(docs: DataFrame, ids: DataFrame, wide_shingle: int) -> DataFrame:
+    """``(id, own)``: distinct shingles, sorted, of the documents of ``ids``.
+
+    Texts are chosen by a filter of fixed size that passes few others, so they are not shuffled.
+    """
+    passing = docs.sparkSession.sparkContext.broadcast(id_filter(ids, FILTER_BITS))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own = [np.unique(shingle_hashes(words_of(t), wide_shingle)).view(np.int64) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(own, pa.list_(pa.int64()))], names=["doc_id", "own"]
-            )
+            some = batch.filter(pa.array(in_filter(passing.value, batch.column(2))))
+            own = [np.unique(shingle_hashes(words_of(t.as_py()), wide_shingle).view(np.int64)) for t in some.column(1)]
+            yield pa.RecordBatch.from_arrays([some.column(0), pa.array(own, pa.list_(pa.int64()))], names=["id", "own"])
 
-    linked = links.select("a").union(links.select("b")).distinct().withColumnRenamed("a", "doc_id")
-    texts = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).join(linked, "doc_id", "left_semi")
-    shingles = stored(texts.mapInArrow(sets, "doc_id bigint, own array<bigint>"), "shingles")
-    pairs = links.join(shingles.select(F.col("doc_id").alias("a"), F.col("own").alias("x")), "a").join(
-        shingles.select(F.col("doc_id").alias("b"), F.col("own").alias("y")), "b"
-    )
-    shared = F.size(F.array_intersect("x", "y"))
-    return pairs.filter(shared >= similarity * (F.size("x") + F.size("y") - shared)).select("a", "b")
+    return numbered(docs, FILTER_BITS).mapInArrow(sets, "id bigint, own array<bigint>")
 
 
 def _settled(
-    dealt: DataFrame, docs: DataFrame, roots: DataFrame, failed: DataFrame, similarity: float, radius: int, margin: float,
+    dealt: DataFrame, prints: DataFrame, docs: DataFrame, roots: DataFrame, similarity: float, radius: int, margin: float,
     wide_shingle: int,
-) -> tuple[DataFrame, DataFrame]:
-    """``roots`` (id, root) joined by all true links inside the shards of ``dealt``, and the ``failed`` pairs (a, b).
+) -> DataFrame:
+    """``roots`` (id, root) joined by all true links inside the shards of ``dealt``.
 
-    Candidates that fail the check may have hidden true links between the same
-    documents, so their shards are searched again from the verified roots and
-    without the failed pairs, each time with twice as many candidates a document, until none fails.
+    ``dealt`` has keys only (shard, turn, id); ``prints`` (id, fp, sketch) are joined to them. What has a candidate
+    in its shard gets its shingles and is searched again, candidates being compared on them at once: a forest
+    of true links hides none.
     """
-    wide = 1
-    while True:
-        both = failed.select(F.col("a").alias("id"), "b").union(failed.select(F.col("b").alias("id"), F.col("a").alias("b")))
-        partners = both.groupBy("id").agg(F.collect_set("b").alias("failed"))
-        rows = dealt.join(roots, "id", "left").join(partners, "id", "left").select(
-            "shard", "turn", "id", "fp", "sketch", F.coalesce("root", "id").alias("root"), "failed"
+
+    def keyed(rows: DataFrame) -> DataFrame:
+        return rows.join(roots, "id", "left").join(prints, "id").select(
+            "shard", "turn", "id", "fp", "sketch", F.coalesce("root", "id").alias("root")
         )
-        rows = rows.repartition("shard").sortWithinPartitions("shard", "turn", "id")
-        found = rows.mapInArrow(_copy_search(radius, similarity - margin, wide), "a bigint, b bigint, shard bigint")
-        found = stored(found, "links")
-        if not found.head(1):
-            return roots, failed
-        true_links = stored(_verified(docs, found.select("a", "b").distinct(), similarity, wide_shingle), "true-links")
-        wrong = stored(found.join(true_links, ["a", "b"], "left_anti"), "wrong")
-        known = roots.select(F.col("id").alias("a"), F.col("root").alias("b"))
-        roots = stored(components(known.union(true_links)).withColumnRenamed("node", "id"), "roots")
-        if not wrong.head(1):
-            return roots, failed
-        failed = stored(failed.union(wrong.select("a", "b")).distinct(), "failed")
-        dealt = stored(dealt.join(wrong.select("shard").distinct(), "shard", "left_semi"), "shards")
-        wide *= 2
-
-
-def _across(crowded: DataFrame, roots: DataFrame, part_rows: int) -> DataFrame:
-    """Shards for all pairs of different roots in crowded shards ``(id, fp, sketch, shard)``.
-
-    Of a shard only the members outside its widest root are looked up, part by part, in
-    trees of all parts of it.
-    """
-    members = crowded.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
-    sizes = stored(members.groupBy("shard", "root").agg(F.count(F.lit(1)).alias("n")), "sizes")
+
+    def in_order(rows: DataFrame) -> DataFrame:
+        return rows.repartition("shard").sortWithinPartitions("shard", "turn", "id")
+
+    search = _copy_search(radius, similarity - margin)
+    named = stored(in_order(keyed(dealt)).mapInArrow(search, "shard bigint, turn int, id bigint"), "named")
+    if not named.head(1):
+        return roots
+    sets = stored(_shingle_sets(docs, named.select("id").distinct(), wide_shingle), "shingles")
+    search = _copy_search(radius, similarity - margin, similarity)
+    full = keyed(named).join(sets, "id").select("shard", "turn", "id", "fp", "sketch", "root", "own")
+    links = stored(in_order(full).mapInArrow(search, "a bigint, b bigint"), "links")
+    known = roots.select(F.col("id").alias("a"), F.col("root").alias("b"))
+    return components(known.union(links)).withColumnRenamed("node", "id")
+
+
+def _apart(members: DataFrame) -> DataFrame:
+    """Shards of ``members`` (id, root, shard) with several roots: ``(shard, n, widest, rest)``, ``rest`` outside the widest."""
+    sizes = members.groupBy("shard", "root").agg(F.count(F.lit(1)).alias("n"))
     shards = sizes.groupBy("shard").agg(F.sum("n").alias("n"), F.max(F.struct("n", "root")).alias("widest"))
-    rest = F.col("n") - F.col("widest.n")
-    shards = shards.filter(rest > 0).select(
-        "shard", F.col("widest.root").alias("widest"), F.ceil(F.col("n") / part_rows).cast("int").alias("parts"),
-        F.ceil(rest / part_rows).cast("int").alias("seekers"),
+    shards = shards.withColumn("rest", F.col("n") - F.col("widest.n")).filter("rest > 0")
+    return shards.select("shard", "n", F.col("widest.root").alias("widest"), "rest")
+
+
+def _across(crowded: DataFrame, prints: DataFrame, roots: DataFrame, part_rows: int) -> DataFrame:
+    """Shards ``(shard, turn, id)`` in which what crowded shards ``(id, shard)`` leave apart meets.
+
+    Members meet where ``BAND`` bytes of their sketches agree at one of ``BANDS`` places, so crowds
+    are split by content and not by size. Of such a smaller shard only the members outside
+    its widest root are looked up; if it is crowded itself, part by part in trees of all parts of it.
+    """
+    members = crowded.join(roots, "id", "left").select("id", "shard", F.coalesce("root", "id").alias("root"))
+    members = stored(members.join(_apart(members).select("shard"), "shard").select("id", "root").distinct(), "crowds")
+    bands = [F.xxhash64(F.lit(band), F.substring("sketch", TABLES + band * BAND + 1, BAND)) for band in range(BANDS)]
+    members = members.join(prints.select("id", "sketch"), "id").select("id", "root", F.explode(F.array(*bands)).alias("shard"))
+    members = stored(members, "members")
+    shards = _apart(members).select(
+        "shard", "widest", F.ceil(F.col("n") / part_rows).cast("int").alias("parts"),
+        F.ceil(F.col("rest") / part_rows).cast("int").alias("seekers"),
     )
-    members = members.join(stored(shards, "crowds"), "shard")
+    members = stored(members.join(shards, "shard"), "members")
 
     def deal(rows: DataFrame, turn: int, own: str, other: str) -> DataFrame:
         place = F.pmod(F.xxhash64("id", F.lit(3 + turn)), F.col(own)).cast("int")
         rows = rows.withColumn("own", place).withColumn("other", F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
         pair = ("other", "own") if turn else ("own", "other")
-        return rows.select("id", "fp", "sketch", F.xxhash64("shard", *pair).alias("shard"), F.lit(turn).alias("turn"))
+        return rows.select(F.xxhash64("shard", *pair).alias("shard"), F.lit(turn).alias("turn"), "id")
 
-    return deal(members, 0, "parts", "seekers").union(deal(members.filter("root != widest"), 1, "seekers", "parts"))
+    alone = members.filter("parts = 1").select("shard", F.when(F.col("root") == F.col("widest"), 0).otherwise(2).alias("turn"), "id")
+    members = members.filter("parts > 1")
+    seeking = deal(members.filter("root != widest"), 1, "seekers", "parts")
+    return alone.union(deal(members, 0, "parts", "seekers")).union(seeking)
 
 
 def near_copies(
@@ -392,36 +422,36 @@ def near_copies(
     trees hold the documents that share one of ``TABLES`` min-hashes; a pair at
     0.8 misses all of them once in 400,000. Candidates within ``radius`` bits
     whose sketches come within ``margin`` of the similarity (at 0.8, three and a half
-    standard deviations) are checked on the shingles themselves, until no candidate connects
-    what the true links leave apart (see ``_settled``). Equal word sequences are one document throughout.
+    standard deviations) are checked on the shingles themselves (see ``_settled``). Equal word sequences are one document throughout.
     Of over ``shard_rows`` documents that share a min-hash, first parts are searched that have ``LEADERS``
-    documents in common; what is still apart after that is compared part by part with all of them.
+    documents in common; what is still apart after that meets by ``BANDS`` pieces of the sketches (see ``_across``),
+    which a pair at 0.8 misses once in ten million.
     """
     signed = stored(signatures(docs, wide_shingle=wide_shingle).filter(F.col("doc_id").isNotNull()), "signatures")
     copies = signed.groupBy("copy").agg(F.min("doc_id").alias("id"))
     copies = stored(copies, "copies")
     firsts = signed.join(copies.withColumnRenamed("id", "doc_id"), ["copy", "doc_id"], "left_semi")
-    firsts = firsts.dropDuplicates(["doc_id"]).withColumnRenamed("doc_id", "id")
-    rows = firsts.select("id", "fp", "sketch", F.posexplode("mins").alias("table", "least"))
-    rows = stored(rows.withColumn("shard", F.xxhash64("table", "least")).drop("table", "least"), "shards")
+    firsts = stored(firsts.drop("copy").dropDuplicates(["doc_id"]).withColumnRenamed("doc_id", "id"), "firsts")
+    prints = firsts.select("id", "fp", "sketch")
+    rows = firsts.select("id", F.posexplode("mins").alias("table", "least"))
+    rows = stored(rows.select("id", F.xxhash64("table", "least").alias("shard")), "shards")
     counts = rows.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
-    counts = stored(counts.withColumn("parts", F.ceil(F.col("n") / shard_rows).cast("int")), "counts")
-    shared = rows.join(counts, "shard")
+    counts = counts.withColumn("parts", F.ceil(F.col("n") / shard_rows).cast("int"))
+    shared = stored(rows.join(counts, "shard"), "shared")
     place = F.pmod(F.xxhash64("id", F.lit(1)), F.col("n"))
     everywhere = F.sequence(F.lit(0), F.col("parts") - 1)
     own = F.array(F.pmod(F.xxhash64("id", F.lit(2)), F.col("parts")).cast("int"))
     parts = F.when((F.col("parts") == 1) | (place >= LEADERS), own).otherwise(everywhere)
-    dealt = shared.select(
-        "fp", "id", "sketch", F.col("shard").alias("__shard"), F.explode(parts).alias("part")
-    ).select("id", "fp", "sketch", F.xxhash64("__shard", "part").alias("shard"), F.lit(2).alias("turn"))
-    session = docs.sparkSession
-    roots, failed = (session.createDataFrame([], f"{x} bigint, {y} bigint") for x, y in (("id", "root"), ("a", "b")))
+    dealt = shared.select("id", F.col("shard").alias("__shard"), F.explode(parts).alias("part")).select(
+        F.xxhash64("__shard", "part").alias("shard"), F.lit(2).alias("turn"), "id"
+    )
+    roots = docs.sparkSession.createDataFrame([], "id bigint, root bigint")
     options = (similarity, radius, margin, wide_shingle)
-    roots, failed = _settled(dealt, docs, roots, failed, *options)
-    crowds = counts.filter("parts > 1").select("shard")
-    if crowds.head(1):
-        across = stored(_across(rows.join(crowds, "shard", "left_semi"), roots, -(-shard_rows // 2)), "across")
-        roots, _ = _settled(across, docs, roots, failed, *options)
+    roots = _settled(dealt, prints, docs, roots, *options)
+    crowded = shared.filter("parts > 1").select("id", "shard")
+    if crowded.head(1):
+        across = stored(_across(crowded, prints, roots, -(-shard_rows // 2)), "across")
+        roots = _settled(across, prints, docs, roots, *options)
     placed = stored(copies.join(roots, "id", "left").select("copy", F.coalesce("root", "id").alias("component_id")), "placed")
     return signed.select("doc_id", "copy").join(placed, "copy").select("doc_id", "component_id")
 

@@ -134,6 +134,23 @@ def test_copies_of_one_original_that_are_no_copies_of_each_other(spark, shard_ro
     assert len(got) == 200 and {r["component_id"] for r in got} == {801}
 
 
+@pytest.mark.parametrize("size", [100, 400])
+def test_rows_dealt_of_a_crowd_grow_with_it_and_no_faster(spark, size):
+    rng = random.Random(size)
+    sketches = [rng.randbytes(simhash.SKETCH) for _ in range(size)]
+    sketches[1] = sketches[0]
+    rows = [(i, 0, bytearray(x)) for i, x in enumerate(sketches)]
+    prints = spark.createDataFrame(rows, "id bigint, fp bigint, sketch binary")
+    crowded = prints.selectExpr("id", "1L AS shard")
+    roots = spark.createDataFrame([], "id bigint, root bigint")
+    dealt = [tuple(r) for r in simhash._across(crowded, prints, roots, 10).collect()]
+    assert len(dealt) <= 2 * simhash.BANDS * size
+    shards = {}
+    for shard, turn, i in dealt:
+        shards.setdefault(shard, set()).add(i)
+    assert sum({0, 1} <= members for members in shards.values()) >= simhash.BANDS
+
+
 def test_one_of_each_odd_rows(odd, no_rows):
     kept = simhash.one_of_each(odd)
     assert kept.columns == odd.columns
