@@ -296,8 +296,8 @@ def score_documents(
     end_base = math.log10(((texts if texts else 0) + 1) / scale)
     end_score = pieces.log_p[END] / math.log(10)
 
-    names = ["row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "word", "times"]
-    types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.int64()]
+    names = ["row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"]
+    types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -305,35 +305,41 @@ def score_documents(
         table = shared.value
         number = TaskContext.get().partitionId() << 40
         for batch in batches:
-            rows = []
+            rows, ends, others, often = [], [0], [], []  # words that are not in the table, and how often
+
+            def full() -> pa.RecordBatch:
+                columns = [pa.array(c, t) for c, t in zip(list(zip(*rows)) or [()] * len(names), types)]
+                rest = pa.MapArray.from_arrays(pa.array(ends, pa.int32()), pa.array(others, pa.binary()), pa.array(often, pa.int64()))
+                return pa.RecordBatch.from_arrays([*columns, rest], names=[*names, "others"])
+
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                counts = Counter(words_of(text.as_py()))
+                words = words_of(text.as_py())
                 base, score, n_known = end_base, end_score, 1 if texts else 0
-                for word, times in sorted(counts.items()):
+                for word, times in Counter(words).items():
                     found = table.get(word)
                     if found is None:
-                        rows.append((number, None, None, None, None, None, None, word, times))
+                        others.append(word)
+                        often.append(times)
                     else:
                         base += times * found[0]
                         score += times * found[1]
-                        n_known += times if found[2] else 0
-                rows.append(
-                    (number, doc_id, int(is_held_out(doc_id)), sum(counts.values()) + 1, n_known, base, score, None, None)
-                )
+                        if found[2]:
+                            n_known += times
+                rows.append((number, doc_id, int(is_held_out(doc_id)), len(words) + 1, n_known, base, score))
+                ends.append(len(others))
                 number += 1
-                if len(rows) > 100_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
-                    rows = []
-            columns = list(zip(*rows)) or [()] * len(names)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
+                if len(others) > 100_000:
+                    yield full()
+                    rows, ends, others, often = [], [0], [], []
+            yield full()
 
     schema = (
         "row bigint, doc_id bigint, held_out int, n_tokens bigint, n_known bigint, base_score double, score double, "
-        "word binary, times bigint"
+        "others map<binary, bigint>"
     )
     source = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
     parts = stored(source.mapInArrow(read, schema), "scored-parts")
-    rare = parts.filter(F.col("word").isNotNull()).select("row", "word", "times").join(
+    rare = parts.select("row", F.explode("others").alias("word", "times")).join(
         scored.select("word", "trained", "lattice"), "word"
     )
     none = F.lit(None)
@@ -343,7 +349,7 @@ def score_documents(
         (F.col("times") * F.log10((F.col("trained") + 1) / F.lit(float(scale)))).alias("base_score"),
         (F.col("times") * F.col("lattice")).alias("score"),
     )
-    own = parts.filter(F.col("word").isNull()).select(*rare.columns)
+    own = parts.select(*rare.columns)
     sums = own.union(rare).groupBy("row").agg(
         F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"), F.max("n_tokens").alias("n_tokens"),
         F.sum("n_known").alias("n_known"), F.sum("base_score").alias("base_score"), F.sum("score").alias("score"),

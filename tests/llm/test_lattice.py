@@ -117,6 +117,23 @@ def test_odd_rows(odd, no_rows):
     assert lattice.score_documents(no_rows, piece_model()).count() == 0
 
 
+def test_words_beyond_the_table_make_no_row_each(spark, monkeypatch):
+    written = {}
+
+    def stored(df, name):
+        df = store(df, name)
+        written[name] = df.count()
+        return df
+
+    store = lattice.stored
+    monkeypatch.setattr(lattice, "stored", stored)
+    docs = [(i, " ".join(f"word{i}x{k}" for k in range(50))) for i in range(8)] + [(None, None)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    rows = lattice.score_documents(df, piece_model(), frequent=0).collect()
+    assert len(rows) == written["scored-parts"] == 9
+    assert sorted(r["n_tokens"] for r in rows) == [1, *[51] * 8] and all(math.isfinite(r["score"]) for r in rows)
+
+
 def test_a_long_piece_does_not_make_every_word_slow():
     pieces = lattice.Pieces.normalized({lattice.END: 1.0, lattice.WORD_START: 1e9, "b": 1e12, "a" * 3000: 1.0})
     began, used = time.process_time(), {}
