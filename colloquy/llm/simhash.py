@@ -9,6 +9,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from colloquy.llm.common import FILTER_BITS, components, id_filter, in_filter, numbered, stored
 
@@ -18,6 +19,7 @@ SHARD = 20_000  # fingerprints in one exact tree
 DENSE_SHARD = 2_000  # the same for a large radius, where a search visits most of a tree
 LEADERS = 64  # documents that every part of an oversized shard has in common
 SKETCH = 128
+BITS_APART, MARGIN = 28, 0.2  # what near copies are looked up by, see ``near_copies``
 TABLES = 8
 BANDS, BAND = 16, 2  # pieces of a sketch by which an oversized shard is split, and their bytes
 
@@ -145,6 +147,8 @@ def _copy_search(radius: int, similar: float, similarity: float | None = None):
                 if rows and row[0] != rows[0][0]:
                     yield rows
                     rows = []
+                elif rows and row[:3] == rows[-1][:3]:  # a row of the table that comes twice
+                    continue
                 rows.append((*row, own[i].values.to_numpy() if own is not None else None))
         if rows:
             yield rows
@@ -291,23 +295,29 @@ def near_components(docs: DataFrame, radius: int = 2, shingle: int = 3, shard_ro
     )
 
 
+def _digest(words: list[bytes]) -> bytes:
+    return xxhash.xxh3_128_digest(b" ".join(words))
+
+
 def signatures(docs: DataFrame, shingle: int = 3, wide_shingle: int = 5, tables: int = TABLES) -> DataFrame:
-    """``(doc_id, copy, fp, mins, sketch)`` per row.
+    """``(doc_id, copy, fp, wide, mins, sketch)`` per row.
 
-    ``copy`` is a 128-bit hash of the text. ``mins`` are ``tables`` min-hashes of
-    the ``wide_shingle``-word shingles and ``sketch`` the low bytes of ``SKETCH``.
+    ``copy`` is a 128-bit hash of the text, ``fp`` its SimHash. ``wide`` is that of the distinct
+    ``wide_shingle``-word shingles, ``mins`` are ``tables`` min-hashes of these and ``sketch`` the low
+    bytes of ``SKETCH``.
     """
     rng = np.random.default_rng(SEED)
     factors = rng.integers(1, 1 << 63, SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            copies, prints, mins, sketches = [], [], [], []
+            copies, prints, wides, mins, sketches = [], [], [], [], []
             for text in batch.column(1).to_pylist():
                 words = words_of(text)
-                copies.append(xxhash.xxh3_128_digest(b" ".join(words)))
+                copies.append(_digest(words))
                 prints.append(fingerprint(shingle_hashes(words, shingle)))
                 wide = np.unique(shingle_hashes(words, wide_shingle))
+                wides.append(fingerprint(wide))
                 least = np.full(SKETCH, np.iinfo(np.uint64).max, dtype=np.uint64)
                 for at in range(0, len(wide), 2048):
                     mixed = wide[at : at + 2048, None] * factors
@@ -317,40 +327,44 @@ def signatures(docs: DataFrame, shingle: int = 3, wide_shingle: int = 5, tables:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0), pa.array(copies, pa.binary()), pa.array(prints, pa.int64()),
-                    pa.array(mins, pa.list_(pa.int64())), pa.array(sketches, pa.binary()),
+                    pa.array(wides, pa.int64()), pa.array(mins, pa.list_(pa.int64())), pa.array(sketches, pa.binary()),
                 ],
-                names=["doc_id", "copy", "fp", "mins", "sketch"],
+                names=["doc_id", "copy", "fp", "wide", "mins", "sketch"],
             )
 
-    schema = "doc_id bigint, copy binary, fp bigint, mins array<bigint>, sketch binary"
+    schema = "doc_id bigint, copy binary, fp bigint, wide bigint, mins array<bigint>, sketch binary"
     return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(compute, schema)
 
 
-def _shingle_sets(docs: DataFrame, ids: DataFrame, wide_shingle: int) -> DataFrame:
-    """``(id, own)``: distinct shingles, sorted, of the documents of ``ids``.
+def _shingle_sets(docs: DataFrame, texts: DataFrame, wide_shingle: int) -> DataFrame:
+    """``(id, own)``: distinct shingles, sorted, of ``texts`` (id, copy, doc_id).
 
-    Texts are chosen by a filter of fixed size that passes few others, so they are not shuffled.
+    Documents are chosen by a filter of fixed size that passes few others, so their texts are not shuffled.
     """
-    passing = docs.sparkSession.sparkContext.broadcast(id_filter(ids, FILTER_BITS))
+    passing = docs.sparkSession.sparkContext.broadcast(id_filter(texts.select("doc_id"), FILTER_BITS))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             some = batch.filter(pa.array(in_filter(passing.value, batch.column(2))))
-            own = [np.unique(shingle_hashes(words_of(t.as_py()), wide_shingle).view(np.int64)) for t in some.column(1)]
-            yield pa.RecordBatch.from_arrays([some.column(0), pa.array(own, pa.list_(pa.int64()))], names=["id", "own"])
+            words = [words_of(t.as_py()) for t in some.column(1)]
+            own = [np.unique(shingle_hashes(w, wide_shingle).view(np.int64)) for w in words]
+            copies = [_digest(w) for w in words]
+            columns = [some.column(0), pa.array(copies, pa.binary()), pa.array(own, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "copy", "own"])
 
-    return numbered(docs, FILTER_BITS).mapInArrow(sets, "id bigint, own array<bigint>")
+    each = numbered(docs, FILTER_BITS).mapInArrow(sets, "doc_id bigint, copy binary, own array<bigint>")
+    return each.join(texts, ["doc_id", "copy"]).select("id", "own")
 
 
 def _settled(
-    dealt: DataFrame, prints: DataFrame, docs: DataFrame, roots: DataFrame, similarity: float, radius: int, margin: float,
-    wide_shingle: int,
+    dealt: DataFrame, prints: DataFrame, texts: DataFrame, docs: DataFrame, roots: DataFrame, similarity: float,
+    radius: int, margin: float, wide_shingle: int,
 ) -> DataFrame:
     """``roots`` (id, root) joined by all true links inside the shards of ``dealt``.
 
     ``dealt`` has keys only (shard, turn, id); ``prints`` (id, fp, sketch) are joined to them. What has a candidate
-    in its shard gets its shingles and is searched again, candidates being compared on them at once: a forest
-    of true links hides none.
+    in its shard gets the shingles of its text (``texts``: id, copy, doc_id) and is searched again, candidates being
+    compared on them at once: a forest of true links hides none.
     """
 
     def keyed(rows: DataFrame) -> DataFrame:
@@ -365,7 +379,8 @@ def _settled(
     named = stored(in_order(keyed(dealt)).mapInArrow(search, "shard bigint, turn int, id bigint"), "named")
     if not named.head(1):
         return roots
-    sets = stored(_shingle_sets(docs, named.select("id").distinct(), wide_shingle), "shingles")
+    wanted = stored(texts.join(named.select("id").distinct(), "id"), "wanted")
+    sets = stored(_shingle_sets(docs, wanted, wide_shingle), "shingles")
     search = _copy_search(radius, similarity - margin, similarity)
     full = keyed(named).join(sets, "id").select("shard", "turn", "id", "fp", "sketch", "root", "own")
     links = stored(in_order(full).mapInArrow(search, "a bigint, b bigint"), "links")
@@ -411,28 +426,45 @@ def _across(crowded: DataFrame, prints: DataFrame, roots: DataFrame, part_rows:
     return alone.union(deal(members, 0, "parts", "seekers")).union(seeking)
 
 
+def _simhash_links(firsts: DataFrame, radius: int) -> DataFrame:
+    """Links ``(a, b)`` that connect the ids of ``firsts`` (id, fp) whose fingerprints differ in at most ``radius`` bits."""
+    distinct = stored(firsts.groupBy("fp").agg(F.min("id").alias("first")), "distinct")
+    equal = firsts.select("fp", F.col("id").alias("b")).join(distinct, "fp").select(F.col("first").alias("a"), "b")
+    return link_fingerprints(distinct.withColumnRenamed("first", "id"), radius).union(equal.filter("a <> b"))
+
+
 def near_copies(
-    docs: DataFrame, similarity: float = 0.8, radius: int = 22, margin: float = 0.12, wide_shingle: int = 5,
-    shard_rows: int = DENSE_SHARD,
+    docs: DataFrame, similarity: float = 0.8, radius: int = BITS_APART, margin: float = MARGIN, wide_shingle: int = 5,
+    shard_rows: int = DENSE_SHARD, simhash_radius: int = 2,
 ) -> DataFrame:
-    """``(doc_id, component_id)`` of every named row, for copies of a Jaccard
-    similarity of at least ``similarity`` on ``wide_shingle``-word shingles.
+    """``(doc_id, component_id)`` of every named row, for texts whose SimHash differs in at most
+    ``simhash_radius`` bits (as in ``near_components``) and copies of a Jaccard similarity of at
+    least ``similarity`` on ``wide_shingle``-word shingles.
 
     At this similarity fingerprints differ in too many bits for blocks, so the
     trees hold the documents that share one of ``TABLES`` min-hashes; a pair at
-    0.8 misses all of them once in 400,000. Candidates within ``radius`` bits
-    whose sketches come within ``margin`` of the similarity (at 0.8, three and a half
-    standard deviations) are checked on the shingles themselves (see ``_settled``). Equal word sequences are one document throughout.
+    0.8 misses all of them once in 400,000. Candidates within ``radius`` bits, counted on the distinct
+    shingles, whose sketches come within ``margin`` of the similarity (at 0.8, six and more
+    standard deviations for the bits of all but the shortest texts, five for the sketches) are checked on
+    the shingles themselves (see ``_settled``). Equal word sequences are one document throughout;
+    of an id with several texts all are searched.
     Of over ``shard_rows`` documents that share a min-hash, first parts are searched that have ``LEADERS``
     documents in common; what is still apart after that meets by ``BANDS`` pieces of the sketches (see ``_across``),
     which a pair at 0.8 misses once in ten million.
     """
+    placed = _placed(docs, similarity, radius, margin, wide_shingle, shard_rows, simhash_radius)
+    return placed.select("doc_id", "component_id")
+
+
+def _placed(
+    docs: DataFrame, similarity: float, radius: int, margin: float, wide_shingle: int, shard_rows: int, simhash_radius: int
+) -> DataFrame:
+    """``near_copies`` with the hash of the text: ``(doc_id, copy, component_id)``."""
     signed = stored(signatures(docs, wide_shingle=wide_shingle).filter(F.col("doc_id").isNotNull()), "signatures")
-    copies = signed.groupBy("copy").agg(F.min("doc_id").alias("id"))
-    copies = stored(copies, "copies")
-    firsts = signed.join(copies.withColumnRenamed("id", "doc_id"), ["copy", "doc_id"], "left_semi")
-    firsts = stored(firsts.drop("copy").dropDuplicates(["doc_id"]).withColumnRenamed("doc_id", "id"), "firsts")
-    prints = firsts.select("id", "fp", "sketch")
+    copies = signed.groupBy("copy").agg(F.min("doc_id").alias("doc_id"))
+    copies = stored(copies.withColumn("id", F.monotonically_increasing_id()), "copies")  # a text's number
+    firsts = stored(signed.join(copies, ["copy", "doc_id"]).dropDuplicates(["id"]), "firsts")
+    prints, texts = firsts.select("id", F.col("wide").alias("fp"), "sketch"), copies.select("id", "copy", "doc_id")
     rows = firsts.select("id", F.posexplode("mins").alias("table", "least"))
     rows = stored(rows.select("id", F.xxhash64("table", "least").alias("shard")), "shards")
     counts = rows.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
@@ -445,30 +477,42 @@ def near_copies(
     dealt = shared.select("id", F.col("shard").alias("__shard"), F.explode(parts).alias("part")).select(
         F.xxhash64("__shard", "part").alias("shard"), F.lit(2).alias("turn"), "id"
     )
-    roots = docs.sparkSession.createDataFrame([], "id bigint, root bigint")
+    roots = components(_simhash_links(firsts, simhash_radius)).withColumnRenamed("node", "id")
     options = (similarity, radius, margin, wide_shingle)
-    roots = _settled(dealt, prints, docs, roots, *options)
+    roots = _settled(dealt, prints, texts, docs, roots, *options)
     crowded = shared.filter("parts > 1").select("id", "shard")
     if crowded.head(1):
         across = stored(_across(crowded, prints, roots, -(-shard_rows // 2)), "across")
-        roots = _settled(across, prints, docs, roots, *options)
-    placed = stored(copies.join(roots, "id", "left").select("copy", F.coalesce("root", "id").alias("component_id")), "placed")
-    return signed.select("doc_id", "copy").join(placed, "copy").select("doc_id", "component_id")
+        roots = _settled(across, prints, texts, docs, roots, *options)
+    joined = copies.join(roots, "id")
+    heads = joined.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    placed = copies.join(joined.join(heads, "root").select("id", "component_id"), "id", "left")
+    placed = stored(placed.select("copy", F.coalesce("component_id", "doc_id").alias("component_id")), "placed")
+    return signed.select("doc_id", "copy").join(placed, "copy").select("doc_id", "copy", "component_id")
 
 
 def one_of_each(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
-    """``docs`` with only the document of the smallest id of each group of near copies.
+    """``docs`` with only the document of the smallest id of each group of near copies (see ``near_copies``).
 
-    Of rows that repeat an id one stays. Rows without an id cannot be compared by
-    it and stay. Columns and their order are kept.
+    Of rows that repeat an id one stays, and one whose text is no copy of a smaller id's if there is one. Rows
+    without an id cannot be compared by it and stay. Columns and their order are kept.
     """
-    placed = stored(near_copies(docs, similarity), "placed")
-    gone = placed.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    repeated = placed.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).select("doc_id")
-    gone, repeated = stored(gone, "gone"), stored(repeated, "repeated")
+    placed = stored(_placed(docs, similarity, BITS_APART, MARGIN, 5, DENSE_SHARD, 2), "placed")
+    # A text is placed at its own or a smaller id.
+    ids = placed.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.max("component_id").alias("last"))
+    gone = stored(ids.filter(F.col("last") < F.col("doc_id")).select("doc_id"), "gone")
+    again = stored(ids.filter((F.col("n") > 1) & (F.col("last") == F.col("doc_id"))).select("doc_id"), "repeated")
     kept = docs.join(gone, "doc_id", "left_anti")
-    again = repeated.join(gone, "doc_id", "left_anti")
     if again.head(1):
-        once = kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+        first = placed.filter(F.col("doc_id") == F.col("component_id")).join(again, "doc_id").select("doc_id", "copy")
+        first = first.distinct().withColumnsRenamed({"doc_id": "__id", "copy": "__copy"})
+        once = kept.join(again, "doc_id", "left_semi").withColumn("__copy", _copy_hash(F.col("text").cast("string")))
+        once = once.join(first, (F.col("doc_id") == F.col("__id")) & (once["__copy"] == first["__copy"]), "left_semi")
+        once = once.dropDuplicates(["doc_id"]).drop("__copy")
         kept = kept.join(again, "doc_id", "left_anti").unionByName(once)
     return kept.select(*docs.columns)
+
+
+@F.arrow_udf(BinaryType())
+def _copy_hash(texts: pa.Array) -> pa.Array:
+    return pa.array([_digest(words_of(t.as_py())) for t in texts], pa.binary())

@@ -134,6 +134,59 @@ def test_copies_of_one_original_that_are_no_copies_of_each_other(spark, shard_ro
     assert len(got) == 200 and {r["component_id"] for r in got} == {801}
 
 
+def test_one_of_each_finds_what_simhash_links(spark):
+    """Texts within two bits of each other go, as in ``near_components``, also below the similarity."""
+    rng = random.Random(4)
+    rows = []
+    for i in range(20):
+        line = " ".join(f"w{rng.randrange(10**6)}" for _ in range(9))
+        rows += [(2 * i + k, " ".join([line] * 60 + [f"x{rng.randrange(10**6)}" for _ in range(12)])) for k in range(2)]
+    near = {(2 * i, 2 * i + 1) for i in range(20) if (print_of(rows[2 * i][1]) ^ print_of(rows[2 * i + 1][1])).bit_count() <= 2}
+    assert len(near) > 10
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    linked = {r["doc_id"]: r["component_id"] for r in simhash.near_components(df).collect()}
+    kept = {r["doc_id"] for r in simhash.one_of_each(df).collect()}
+    assert kept == {i for i, c in linked.items() if i == c} and not kept & {b for _, b in near}
+
+
+def test_copies_whose_lines_repeat_differently(spark):
+    """The same distinct shingles but for the seams, in other numbers: fingerprints of all shingles are far apart."""
+    rng = random.Random(6)
+    rows, far = [], 0
+    for i in range(10):
+        one, two = (" ".join(f"w{rng.randrange(10**6)}" for _ in range(80)) for _ in range(2))
+        texts = [" ".join([one] * 12 + [two] * 2), " ".join([one] * 2 + [two] * 12)]
+        far += (print_of(texts[0]) ^ print_of(texts[1])).bit_count() > 22
+        rows += [(2 * i + k, t) for k, t in enumerate(texts)]
+    assert far
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert {r["doc_id"] for r in simhash.one_of_each(df).collect()} == set(range(0, 20, 2))
+
+
+def test_every_text_of_a_repeated_id_is_searched(spark):
+    rng = random.Random(7)
+    rows = []
+    for i in range(12):
+        texts = [rng.choices([f"w{k}" for k in range(3000)], k=200) for _ in range(3)]
+        rows += [(i, " ".join(words)) for words in texts]
+        rows += [(100 + 3 * i + k, " ".join([*words[:-1], "other"])) for k, words in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {(r["doc_id"], r["component_id"]) for r in simhash.near_copies(df).collect()}
+    assert got == {(i, i) for i in range(12)} | {(100 + 3 * i + k, i) for i in range(12) for k in range(3)}
+
+
+def test_of_a_repeated_id_a_text_stays_that_no_other_has(spark):
+    rng = random.Random(8)
+    rows, want = [], set()
+    for i in range(0, 36, 3):
+        one, two = (" ".join(rng.choices([f"w{k}" for k in range(3000)], k=60)) for _ in range(2))
+        rows += [(i, two), (i + 1, one), (i + 1, two), (i + 2, one)]
+        want |= {(i, two), (i + 1, one)}
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert {tuple(r) for r in simhash.one_of_each(df).collect()} == want
+
+
 @pytest.mark.parametrize("size", [100, 400])
 def test_rows_dealt_of_a_crowd_grow_with_it_and_no_faster(spark, size):
     rng = random.Random(size)
