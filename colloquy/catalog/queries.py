@@ -20,7 +20,7 @@ from colloquy.functions import dialogue as dlg
 from colloquy.operators import batching, dialogues, generation, mixing, ranking, rows, runlog, vocabulary
 from colloquy.operators import prompts as prm
 from colloquy.plans import corpus, encode
-from colloquy.session import scratch_path
+from colloquy.session import cut_lineage, scratch_path
 from colloquy.sources import converters, readers, writers
 from colloquy.streaming import chat, clean
 
@@ -587,8 +587,9 @@ def tokenize_keep(spark, sf_dir):
 @query
 def encode_tokens_joined(spark, sf_dir):
     """The look-up by join that vocabularies too large to be sent take."""
-    pieces = _documents_text(spark, sf_dir).withColumn("tokens", tokens.pretokenize(F.col("text")))
-    encoded = vocabulary.encode_tokens(pieces, _vocab(spark, sf_dir), max_shipped=100)
+    pieces = _documents_text(spark, sf_dir).select("doc_id", tokens.pretokenize(F.col("text")).alias("tokens"))
+    vocab = cut_lineage(_vocab(spark, sf_dir))  # used several times
+    encoded = vocabulary.encode_tokens(pieces, vocab, max_shipped=100)
     return encoded.select("doc_id", joined(F.col("input_ids")).alias("ids"))
 
 

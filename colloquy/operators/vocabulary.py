@@ -5,28 +5,30 @@ A vocabulary is a table ``(token string, id int)``.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import secrets
+import zlib
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 from colloquy.constants import BLOCK_SIZE, EOS, SPECIALS
 from colloquy.functions.dialogue import dialogue_to_text
 from colloquy.functions.text import strip_ws
 from colloquy.functions.tokens import pretokenize, truncate_head
 from colloquy.operators.rows import filter_nonblank_text
-from colloquy.session import cut_lineage
+from colloquy.session import cut_lineage, scratch_path
 
 # A vocabulary up to this many tokens is sent to the workers; a larger one is joined, with equal results.
 MAX_SHIPPED_TOKENS = 500_000
-_JOIN_SALTS = 16
-_BLOCK_ROWS = 256  # rows that share one look-up in the joined path
-_SLICE_ROWS = 1024  # rows looked up at a time in the other
+_SLICE_ROWS = 1024  # rows looked up at a time
+_BLOCK_ROWS, _BLOCK_TOKENS = 2048, 1 << 20  # most rows, and tokens of several rows, that share one look-up in the joined path
+_FILTER_BITS = 1 << 24  # fixed size of a filter that passes every token of a vocabulary and some others
+_DICTIONARY_BYTES = 16 << 20  # so far written columns of tokens are dictionary-coded
 
 
 def count_tokens(df: DataFrame, column: str = "text", specials: Sequence[str] = SPECIALS) -> DataFrame:
@@ -94,19 +96,28 @@ def encode_tokens(
     A null array becomes an empty one; a vocabulary without ``unknown``, or with
     a token more than once, is an error. The size of the vocabulary decides only how the look-up runs: up to
     ``max_shipped`` tokens are sent to the workers and looked up on Arrow arrays; more
-    are joined, over row numbers of a written copy of ``df``, with the same result.
+    are joined, block by block of a written copy of ``df``, with the same result.
     """
     table = vocab.select("token", F.col("id").cast("int").alias("id"))
-    found = table.filter(F.col("token") == unknown).first()
-    if found is None:
+    head = table.limit(max_shipped + 1).toArrow()
+    ships = head.num_rows <= max_shipped
+    if ships:  # what was sent holds all there is to check
+        at = pc.index(head["token"], pa.scalar(unknown, head["token"].type)).as_py()
+        unknown_id = head["id"][at].as_py() if at >= 0 else None
+        counts = pc.value_counts(head["token"].combine_chunks())
+        repeated = counts.filter(pc.greater(counts.field("counts"), 1)).field("values")[:1].to_pylist()
+    else:
+        table = cut_lineage(table)
+        found = table.filter(F.col("token") == unknown).first()
+        at, unknown_id = (-1, None) if found is None else (0, found["id"])
+        repeated = [r["token"] for r in table.groupBy("token").count().filter(F.col("count") > 1).head(1)]
+    if at < 0:
         raise ValueError(f"the vocabulary lacks its unknown token {unknown!r}")
-    repeated = table.groupBy("token").count().filter(F.col("count") > 1).head(1)
     if repeated:  # one answer for either path
-        raise ValueError(f"the vocabulary holds token {repeated[0]['token']!r} more than once")
-    shipped_table = table.limit(max_shipped + 1).toArrow()
-    if shipped_table.num_rows > max_shipped:
-        return _encode_by_join(df, table, column, out, found["id"])
-    shipped = df.sparkSession.sparkContext.broadcast((shipped_table["token"], shipped_table["id"], found["id"]))
+        raise ValueError(f"the vocabulary holds token {repeated[0]!r} more than once")
+    if not ships:
+        return _encode_by_join(df, table, column, out, unknown_id)
+    shipped = df.sparkSession.sparkContext.broadcast((head["token"], head["id"], unknown_id))
 
     @F.arrow_udf("array<int>")
     def look_up(batch: pa.Array) -> pa.Array:
@@ -125,24 +136,87 @@ def _ids(tokens: pa.Array, known: pa.ChunkedArray, ids: pa.ChunkedArray, unknown
 
 
 def _encode_by_join(df: DataFrame, table: DataFrame, column: str, out: str, unknown_id: int) -> DataFrame:
-    """Only the distinct tokens of every block of rows are joined; the blocks look theirs up in what they get back."""
-    numbered = cut_lineage(df.withColumn("__row", F.monotonically_increasing_id()))
-    salts = F.explode(F.sequence(F.lit(0), F.lit(_JOIN_SALTS - 1))).alias("__salt")
-    words = table.select(F.col("token").alias("__token"), F.col("id").alias("__id"), salts)
-    rows = numbered.select(
-        F.floor(F.col("__row") / _BLOCK_ROWS).alias("__block"), "__row", F.col(column).alias("__tokens")
-    )
-    used = rows.select("__block", F.explode("__tokens").alias("__token")).distinct()
-    used = used.withColumn("__salt", F.pmod("__block", F.lit(_JOIN_SALTS)).cast("int"))
-    found = used.join(words, ["__token", "__salt"]).select(F.col("__block").alias("__of"), "__token", "__id")
-
-    def look_up(block: pa.Table, known: pa.Table) -> pa.Table:
-        ids = _ids(block["__tokens"].combine_chunks(), known["__token"], known["__id"], unknown_id)
-        return pa.table([block["__row"], ids], names=["__row", out])
+    """The rows are written with their tokens numbered within blocks of rows; only the distinct
+    tokens of a block that a filter passes are joined, and their ids go back to the block by these numbers.
 
-    schema = StructType([StructField("__row", LongType()), StructField(out, ArrayType(IntegerType()))])
-    encoded = rows.groupBy("__block").cogroup(found.groupBy("__of")).applyInArrow(look_up, schema)
-    return numbered.join(encoded, "__row").drop("__row")
+    A token comes once in a block, so none has many of the rows that are joined.
+    """
+    path = scratch_path(df.sparkSession, "coded")
+    coded = df.withColumn("__at", _numbers(df.sparkSession, column, _token_filter(table)))
+    # Rows are compressed, as tokens take several times the room of their text.
+    write = coded.write.option("compression", "zstd").option("parquet.dictionary.page.size", str(_DICTIONARY_BYTES))
+    write.parquet(path)
+    coded = df.sparkSession.read.schema(coded.schema).parquet(path)
+    words = coded.select(F.col("__at.block").alias("__of"), F.inline("__at.words"))
+    found = words.join(table.filter("id IS NOT NULL"), "token").select("__of", "code", "id")
+
+    def by_code(block: pa.Table) -> pa.Table:
+        codes = block["code"].to_numpy()
+        ids, lacking = np.zeros(codes.max() + 1, dtype=np.int32), np.ones(codes.max() + 1, dtype=bool)
+        ids[codes], lacking[codes] = block["id"].to_numpy(), False
+        ids = pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), pa.array(ids, mask=lacking))
+        return pa.table([block["__of"][:1], ids], names=["__of", "__ids"])
+
+    known = found.groupBy("__of").applyInArrow(by_code, "__of bigint, __ids array<int>")
+    joined = coded.join(known, F.col("__at.block") == F.col("__of"), "left")
+    ids = F.transform("__at.codes", lambda code: F.coalesce(F.get("__ids", code), F.lit(unknown_id).cast("int")))
+    return joined.withColumn(out, ids).drop("__at", "__of", "__ids")
+
+
+def _bits(tokens: pa.Array) -> np.ndarray:
+    """The place of each token in a filter."""
+    each = tokens.cast(pa.large_binary()).to_pylist()
+    return np.fromiter(map(zlib.crc32, each), dtype=np.uint32, count=len(each)) % np.uint32(_FILTER_BITS)
+
+
+def _token_filter(table: DataFrame) -> np.ndarray:
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            word, bit = np.divmod(np.unique(_bits(batch.column(0))).astype(np.int64), 32)
+            yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(1 << bit)], names=["word", "bit"])
+
+    marked = table.select("token").filter("token IS NOT NULL").mapInArrow(mark, "word bigint, bit bigint")
+    words = marked.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()  # _FILTER_BITS / 32 rows at most
+    filled = np.zeros(_FILTER_BITS // 32, dtype=np.uint32)
+    filled[words["word"].to_numpy()] = words["bits"].to_numpy()
+    return filled
+
+
+def _numbers(spark: SparkSession, column: str, passing: np.ndarray) -> Column:
+    """``(block, codes, words)``: tokens by their numbers among the ``words`` of their block, which its first row has.
+
+    A null token and one that the filter holds back is -1. Blocks have random numbers, so they are to be written
+    before they are used.
+    """
+    word = pa.struct([("code", pa.int32()), ("token", pa.string())])
+    kind = pa.struct([("block", pa.int64()), ("codes", pa.list_(pa.int32())), ("words", pa.list_(word))])
+    shared = spark.sparkContext.broadcast(passing)
+
+    @F.arrow_udf("block bigint, codes array<int>, words array<struct<code int, token string>>")
+    def number(batch: pa.Array) -> pa.Array:
+        sizes = pc.fill_null(pc.list_value_length(batch), 0).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(sizes, dtype=np.int64)
+        parts, at = [], 0
+        while at < len(batch):
+            room = np.searchsorted(ends, ends[at] - sizes[at] + _BLOCK_TOKENS, side="right")
+            end = min(len(batch), at + _BLOCK_ROWS, max(int(room), at + 1))
+            tokens = batch.slice(at, end - at).flatten().dictionary_encode()
+            bits = _bits(tokens.dictionary)
+            known = (shared.value[bits // 32] >> (bits % 32)) & np.uint32(1) > 0
+            codes = np.append(np.where(known, np.cumsum(known) - 1, -1), -1).astype(np.int32)
+            codes = codes[pc.fill_null(tokens.indices, -1).to_numpy()]
+            words = tokens.dictionary.filter(pa.array(known)).cast(pa.string())
+            words = pa.StructArray.from_arrays([pa.array(np.arange(len(words), dtype=np.int32)), words], fields=list(word))
+            columns = [
+                pa.array(np.full(end - at, secrets.randbits(63), dtype=np.int64)),
+                pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes[at:end])), pa.int32()), pa.array(codes)),
+                pa.ListArray.from_arrays(pa.array([0, *[len(words)] * (end - at)], pa.int32()), words),
+            ]
+            parts.append(pa.StructArray.from_arrays(columns, names=["block", "codes", "words"]).cast(kind))
+            at = end
+        return pa.concat_arrays(parts or [pa.array([], kind)])
+
+    return number.asNondeterministic()(column)
 
 
 def tokenize(

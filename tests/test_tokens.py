@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -5,6 +7,7 @@ from colloquy.constants import SPECIALS
 from colloquy.functions import tokens as T
 from colloquy.operators import generation, prompts, rows, vocabulary
 from colloquy.plans import encode
+from colloquy.session import cut_lineage
 
 
 @pytest.fixture(scope="module")
@@ -197,6 +200,35 @@ def test_joined_look_up_moves_tokens_once_a_block(spark, vocab):
     assert sorted(r["id"] for r in rows) == list(range(3000)) and all(r["input_ids"] == [known] * 200 for r in rows)
 
 
+def test_joined_look_up_writes_little(spark):
+    """Half of the tokens are in the vocabulary; the rows that are written hold all of them."""
+    vocab = spark.range(5000).select(F.concat(F.lit("token"), "id").alias("token"), F.col("id").cast("int"))
+    vocab = vocab.unionByName(spark.createDataFrame([("<|endoftext|>", 5000)], "token string, id int"))
+    tokens = F.transform(F.sequence(F.lit(1), F.lit(500)), lambda i: F.concat(F.lit("token"), F.pmod(F.xxhash64("id", i), F.lit(10_000))))
+    df = spark.range(0, 1000, 1, 2).select("id", F.when(F.col("id") != 7, F.array_append(tokens, F.lit(None))).alias("tokens"))
+    cut_lineage(df.limit(0))  # the scratch folder exists from here on
+    folder = Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+    size = lambda: sum(f.stat().st_size for f in folder.rglob("*") if f.is_file())
+    before = size()
+    encoded = vocabulary.encode_tokens(df, vocab, max_shipped=100)
+    got = {r["id"]: r["input_ids"] for r in encoded.collect()}
+    assert size() - before < 1000 * 500 * 5
+    shipped = {r["id"]: r["input_ids"] for r in vocabulary.encode_tokens(df, vocab).collect()}
+    assert got == shipped and got[7] == [] and got[8][-1] == 5000 and len(got) == 1000
+
+
+def test_joined_look_up_joins_what_a_block_may_know(spark, vocab, monkeypatch):
+    monkeypatch.setattr(vocabulary, "_BLOCK_ROWS", 100)
+    token = vocab.filter(F.col("id") == 1).first()["token"]
+    df = spark.range(0, 1000, 1, 2).select("id", F.array(F.lit(token), F.concat(F.lit("w"), "id"), F.lit(token)).alias("tokens"))
+    numbers = vocabulary._numbers(spark, "tokens", vocabulary._token_filter(vocab))
+    rows = cut_lineage(df.select("id", numbers.alias("at"))).select("id", "at.*").collect()
+    assert len({r["block"] for r in rows}) == 10
+    words = [w for r in rows for w in r["words"]]
+    assert sum(w["token"] == token for w in words) == 10 and len(words) < 30
+    assert all(len(r["codes"]) == 3 and r["codes"][0] == r["codes"][2] >= 0 for r in rows)
+
+
 def test_loader_runs_on_the_worker_once_per_task(spark, tmp_path):
     log = str(tmp_path / "loads")
 
